@@ -25,7 +25,7 @@ def _col(c: str | Column) -> Column:
 def parse_date_multi(c: str | Column, patterns: Iterable[str] = DATE_PATTERNS) -> Column:
     """First pattern that parses wins; unparsable text becomes NULL."""
     col = _col(c)
-    return F.coalesce(*[F.try_to_date(col, F.lit(p)) for p in patterns])
+    return F.coalesce(*[F.try_to_date(col, p) for p in patterns])
 
 
 def to_double(c: str | Column) -> Column:

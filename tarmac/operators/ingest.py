@@ -42,14 +42,20 @@ def header_renames(columns: Sequence[str], mapping=RENAME_MAP) -> dict[str, str]
     Names are compared case-insensitively, like Spark's default resolution.
     Works on the schema only; no data is touched.
     """
+    original = list(columns)
     current = list(columns)
     renames: dict[str, str] = {}
     for old, new in mapping:
         lowered = [c.lower() for c in current]
-        if old.lower() in lowered and new.lower() not in lowered:
-            actual = current[lowered.index(old.lower())]
-            renames[actual] = new
-            current[lowered.index(old.lower())] = new
+        if old.lower() not in lowered:
+            continue
+        idx = lowered.index(old.lower())
+        # target present as another column (e.g. AIRLINE already became airline)
+        if any(i != idx and c == new.lower() for i, c in enumerate(lowered)):
+            continue
+        if current[idx] != new:
+            renames[original[idx]] = new
+            current[idx] = new
     return renames
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import WEEKDAYS, weekday_ordinal
@@ -82,11 +82,10 @@ def count_by(df: DataFrame, dims: str | Sequence[str], count_col: str = "count")
 def share_pct(df: DataFrame, dims: str | Sequence[str], count_col: str = "count") -> DataFrame:
     """Rows per group and the group's percentage of all rows.
 
-    The grand total is a window over the (small) aggregated table, not over the
-    input rows.
+    The grand total is a scalar subquery over the aggregated table.
     """
     counted = count_by(df, dims, count_col)
-    total = F.sum(count_col).over(Window.partitionBy())
+    total = counted.agg(F.sum(count_col)).scalar()
     return counted.withColumn("share_pct", F.round(F.col(count_col) * 100.0 / total, 6))
 
 
@@ -179,32 +178,24 @@ def multi_dimension_summary(
 ) -> DataFrame:
     """Several grouped summaries in one scan with GROUPING SETS.
 
-    Output: one row per group of each set, with ``grouping_set`` naming the set
-    (dimensions joined by '+') and the dimension columns NULL where unused.
+    Output: one row per group of each set, ``grouping_set`` naming the set
+    (dimensions joined by '+'), dimension columns NULL where the set lacks them.
     """
     all_dims: list[str] = []
     for s in dimension_sets:
         for d in s:
             if d not in all_dims:
                 all_dims.append(d)
-    sets_sql = ", ".join("(" + ", ".join(s) + ")" for s in dimension_sets)
-    gid_to_name = {}
+    name = None
     for s in dimension_sets:
-        gid = 0
-        for i, d in enumerate(all_dims):
-            if d not in s:
-                gid |= 1 << (len(all_dims) - 1 - i)
-        gid_to_name[gid] = "+".join(s)
-    name_expr = "CASE grouping_id() " + " ".join(
-        f"WHEN {gid} THEN '{name}'" for gid, name in gid_to_name.items()
-    ) + " END"
-    view = f"_tarmac_mds_{id(df)}"
-    df.createOrReplaceTempView(view)
-    dims_sql = ", ".join(all_dims)
-    return df.sparkSession.sql(
-        f"SELECT {name_expr} AS grouping_set, {dims_sql}, "
-        f"AVG({measure}) AS avg_{measure}, COUNT(*) AS n "
-        f"FROM {view} GROUP BY GROUPING SETS ({sets_sql})"
+        gid = sum(1 << (len(all_dims) - 1 - i) for i, d in enumerate(all_dims) if d not in s)
+        label = F.lit("+".join(s))
+        name = F.when(F.grouping_id() == gid, label) if name is None else name.when(F.grouping_id() == gid, label)
+    sets = [[F.col(d) for d in s] for s in dimension_sets]
+    return df.groupingSets(sets, *all_dims).agg(
+        name.alias("grouping_set"),
+        F.avg(measure).alias(f"avg_{measure}"),
+        F.count(F.lit(1)).alias("n"),
     )
 
 
