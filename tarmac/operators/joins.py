@@ -1,0 +1,38 @@
+"""Size-checked broadcast joins.
+
+A side is broadcast only when its row count is *proven* below a bound:
+``limit(bound + 1).count()`` stops each task after bound + 1 rows, so the check
+costs at most a bounded amount of work even on a huge table.  Beyond the bound
+the join is left to Spark's shuffle joins (sort-merge, with AQE's skew-join
+splitting of hot keys).  Checks of input tables are remembered per application
+and path, so repeated plans over the same tables do not repeat them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a dimension that may be shipped to every task: the dimensions joined
+# here are narrow (a key and one short name), so 2M rows stay far below the
+# memory a broadcast may use.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+_CHECKS: dict[tuple, bool] = {}
+
+
+def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded work to find out)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def table_is_small(spark: SparkSession, path: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    key = (spark.sparkContext.applicationId, path, max_rows)
+    if key not in _CHECKS:
+        _CHECKS[key] = row_bound_holds(spark.read.parquet(path), max_rows)
+    return _CHECKS[key]
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Mark ``df`` as the broadcast side when its size was proven small."""
+    return F.broadcast(df) if small else df

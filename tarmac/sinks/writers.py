@@ -18,20 +18,19 @@ def write_curated(
 ) -> None:
     """Overwrite the curated table, partitioned by year / month.
 
-    Rows are range-partitioned on the partition columns followed by the other
-    columns: every task holds a contiguous key range, so it writes into one or two
-    month folders (few files), and a month holding a third of all rows is cut
-    across many tasks instead of landing in one.  Dynamic overwrite replaces only
-    the folders that receive rows.
+    A ``rebalance`` on the partition columns is one shuffle that gathers each
+    month's rows, so a task writes few folders; adaptive execution splits a month
+    that is larger than the advisory partition size (say, one holding a third of
+    all rows) into several tasks and merges small months, so files stay near that
+    size.  Dynamic overwrite replaces only the folders that receive rows.
     """
     cols = [c for c in partition_by if c in df.columns]
-    rest = [c for c in df.columns if c not in cols]
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in cols + rest]) if cols else df
-        writer = ranged.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        balanced = df.hint("rebalance", *cols) if cols else df
+        writer = balanced.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if cols:
             writer = writer.partitionBy(*cols)
         writer.parquet(path)
