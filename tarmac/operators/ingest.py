@@ -132,8 +132,19 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def drop_null_required(df: DataFrame, required: Iterable[str] = REQUIRED_FOR_DELAYS) -> DataFrame:
+    """Drop rows NULL in any required column.
+
+    Written as a conjunction of ``IS NOT NULL`` predicates rather than ``dropna``
+    (one opaque expression over all columns), so the optimizer can push each
+    predicate to the join side or scan that produces its column.
+    """
     present = [c for c in required if c in df.columns]
-    return df.dropna(subset=present) if present else df
+    if not present:
+        return df
+    cond = F.col(present[0]).isNotNull()
+    for c in present[1:]:
+        cond = cond & F.col(c).isNotNull()
+    return df.where(cond)
 
 
 def arrived(df: DataFrame, required: Iterable[str] = REQUIRED_FOR_DELAYS) -> DataFrame:

@@ -62,11 +62,15 @@ def batch_numbers(
 
 
 def replay_rows(df: DataFrame, months: int | None = DEFAULT_MONTHS) -> DataFrame:
-    """The scoring stream's columns (derived where missing), optionally recent only."""
+    """The scoring stream's columns (derived where missing), optionally recent only.
+
+    The recent-months filter runs first, on the table's own year / month, so on a
+    table partitioned by them it prunes folders before any row is read.
+    """
     rows = df.where(F.col("flight_date").isNotNull())
-    rows = fill_missing_derived(rows)
     if months is not None:
         rows = recent_months(rows, months)
+    rows = fill_missing_derived(rows)
     return rows.select(*[c for c in STREAM_COLUMNS if c in rows.columns])
 
 

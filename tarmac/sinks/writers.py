@@ -25,17 +25,13 @@ def write_curated(
     size.  Dynamic overwrite replaces only the folders that receive rows.
     """
     cols = [c for c in partition_by if c in df.columns]
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        balanced = df.hint("rebalance", *cols) if cols else df
-        writer = balanced.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-        if cols:
-            writer = writer.partitionBy(*cols)
-        writer.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    balanced = df.hint("rebalance", *cols) if cols else df
+    writer = (balanced.write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic")
+              .option("maxRecordsPerFile", max_records_per_file))
+    if cols:
+        writer = writer.partitionBy(*cols)
+    writer.parquet(path)
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:

@@ -94,8 +94,16 @@ def run_snapshots(
     available_now: bool = True,
     processing_time: str = "10 seconds",
     timeout_s: float | None = 600,
+    state_partitions: int = 4,
 ) -> StreamingQuery:
-    """Complete-mode aggregate -> one Parquet snapshot folder per micro-batch."""
+    """Complete-mode aggregate -> one Parquet snapshot folder per micro-batch.
+
+    ``state_partitions`` sets the state store's partition count (fixed in the
+    checkpoint at the first start).  The keys are few (one per airline) and each
+    micro-batch is partially aggregated before the shuffle, so a handful of state
+    partitions serves any input volume, and every extra one costs a state-store
+    commit per micro-batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # the complete result is one row per group (bounded): one file per snapshot
@@ -104,7 +112,14 @@ def run_snapshots(
     writer = (agg.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint_dir)
               .foreachBatch(write))
-    return _finish(_trigger(writer, available_now, processing_time).start(), timeout_s)
+    spark = agg.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = _trigger(writer, available_now, processing_time).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return _finish(query, timeout_s)
 
 
 def run_append(
