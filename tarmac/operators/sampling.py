@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import hash_bucket, row_key
@@ -37,16 +37,37 @@ def train_test_split(
     return train, test
 
 
+_PREFIX_SPACE = 1 << 32  # the first 8 hex digits of md5
+
+
+def _hash_prefix(h: Column) -> Column:
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
 def bounded_sample(df: DataFrame, limit: int, key_cols: Sequence[str]) -> DataFrame:
-    """At most ``limit`` rows chosen by hash order of the key (a sampling operator).
+    """Exactly the ``limit`` rows with the smallest md5(key) (ties by key).
 
-    ``orderBy(...).limit(n)`` plans as a top-k (TakeOrderedAndProject): each task
-    keeps its n smallest hashes, so nothing but n rows per task moves.
+    A plain ``orderBy().limit()`` keeps ``limit`` rows per task and merges them
+    in one task, which grows with the number of tasks.  Here one aggregate pass
+    counts the rows under a ladder of hash cut-offs (1, 1/2, 1/4, ... of the hash
+    space); only rows under the smallest cut-off that still holds ``limit`` rows
+    enter the top-k.  That is exact — every row above the cut-off sorts after all
+    rows below it — and the top-k then sees about ``limit``-to-2x-``limit`` rows
+    (more only when many rows are copies of one key, which share a hash).
     """
-    key = row_key(key_cols)
-    return (
-        df.withColumn("_h", F.md5(key))
-        .orderBy(F.col("_h"), *[F.col(c).asc_nulls_first() for c in key_cols])
-        .limit(limit)
-        .drop("_h")
-    )
+    h = F.md5(row_key(key_cols))
+    prefix = _hash_prefix(h)
+    ladder = [_PREFIX_SPACE >> j for j in range(0, 32)]
+    stats = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(prefix < F.lit(c)).alias(f"c{j}") for j, c in enumerate(ladder)],
+    ).first()
+    cutoff = _PREFIX_SPACE
+    for j, c in enumerate(ladder):
+        if stats[f"c{j}"] >= limit:
+            cutoff = c
+    order = [F.col("_h")] + [F.col(c).asc_nulls_first() for c in key_cols]
+    candidates = df.withColumn("_h", h)
+    if cutoff < _PREFIX_SPACE:
+        candidates = candidates.where(_hash_prefix(F.col("_h")) < F.lit(cutoff))
+    return candidates.orderBy(*order).limit(limit).drop("_h")

@@ -220,8 +220,8 @@ def q_agg11(spark, sf):
 
 @register(
     "agg13_row_count",
-    O.oracle("""SELECT COUNT(*) AS n_rows, count_if(arr_delay > 15) AS positive,
-                       count_if(arr_delay <= 15) AS negative FROM flights"""),
+    O.oracle("""SELECT COUNT(*) AS n_rows, CAST(count_if(arr_delay > 15) AS BIGINT) AS positive,
+                       CAST(count_if(arr_delay <= 15) AS BIGINT) AS negative FROM flights"""),
 )
 def q_agg13(spark, sf):
     return SU.row_counts(with_label(flights(spark, sf)), "delayed")
@@ -277,7 +277,7 @@ def q_grouping_sets(spark, sf):
 MONTHLY_AIRLINE_SQL = """
     monthly AS (
         SELECT month, airline, COUNT(*) AS total_flights,
-               count_if(arr_delay > 15) AS total_delays, AVG(arr_delay) AS avg_arr_delay
+               CAST(count_if(arr_delay > 15) AS BIGINT) AS total_delays, AVG(arr_delay) AS avg_arr_delay
         FROM flights GROUP BY month, airline
     )"""
 
@@ -323,7 +323,7 @@ def q_smp1(spark, sf):
 @register(
     "spl1_train_test_split",
     O.oracle(f"""
-        SELECT split, COUNT(*) AS n_rows, count_if(arr_delay > 15) AS n_delayed
+        SELECT split, COUNT(*) AS n_rows, CAST(count_if(arr_delay > 15) AS BIGINT) AS n_delayed
         FROM (SELECT *, CASE WHEN ('0x' || substr(md5({FLIGHT_KEY_SQL}), 1, 8))::BIGINT % 100 < 70
                              THEN 'train' ELSE 'test' END AS split FROM flights)
         GROUP BY split"""),
@@ -347,7 +347,7 @@ def q_prj1(spark, sf):
     "prj2_parse_date_multi",
     O.oracle(f"""SELECT CAST(year(flight_date) AS INTEGER) AS year,
                         CAST(month(flight_date) AS INTEGER) AS month,
-                        SUM({RAW_COPIES_SQL}) AS n
+                        CAST(SUM({RAW_COPIES_SQL}) AS BIGINT) AS n
                  FROM base GROUP BY 1, 2"""),
 )
 def q_prj2(spark, sf):
@@ -378,8 +378,8 @@ def q_prj4(spark, sf):
 @register(
     "prj5_numeric_cast",
     O.oracle(f"""
-        SELECT SUM({RAW_COPIES_SQL}) AS n_rows,
-               SUM(CASE WHEN l_partkey % 50 <> 0 THEN {RAW_COPIES_SQL} ELSE 0 END) AS n_arr_delay,
+        SELECT CAST(SUM({RAW_COPIES_SQL}) AS BIGINT) AS n_rows,
+               CAST(SUM(CASE WHEN l_partkey % 50 <> 0 THEN {RAW_COPIES_SQL} ELSE 0 END) AS BIGINT) AS n_arr_delay,
                SUM(CASE WHEN l_partkey % 50 <> 0
                         THEN (l_quantity + l_partkey % 7 - 14) * {RAW_COPIES_SQL} END) AS sum_arr_delay,
                SUM((l_quantity - 10) * {RAW_COPIES_SQL}) AS sum_dep_delay,
@@ -421,7 +421,7 @@ def q_prj6(spark, sf):
 
 @register(
     "prj7_hhmm_to_hour",
-    O.oracle(f"""SELECT CAST(l_orderkey % 24 AS INTEGER) AS dep_hour, SUM({RAW_COPIES_SQL}) AS n
+    O.oracle(f"""SELECT CAST(l_orderkey % 24 AS INTEGER) AS dep_hour, CAST(SUM({RAW_COPIES_SQL}) AS BIGINT) AS n
                  FROM base GROUP BY 1"""),
 )
 def q_prj7(spark, sf):
@@ -467,7 +467,7 @@ def q_prj12(spark, sf):
 
 @register(
     "dst1_dedup_rows",
-    O.oracle(f"""SELECT (SELECT SUM({RAW_COPIES_SQL}) FROM base) AS n_raw,
+    O.oracle(f"""SELECT (SELECT CAST(SUM({RAW_COPIES_SQL}) AS BIGINT) FROM base) AS n_raw,
                         (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM cleaned)) AS n_distinct"""),
 )
 def q_dst1(spark, sf):
@@ -558,13 +558,13 @@ def q_met2(spark, sf):
     "met3_exact_auc",
     O.oracle(
         """
-        SELECT SUM(pos) AS n_pos, SUM(neg) AS n_neg,
+        SELECT CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(neg) AS BIGINT) AS n_neg,
                SUM(pos * (coalesce(neg_below, 0) + neg * 0.5)) / (SUM(pos) * SUM(neg)) AS auc
         FROM (SELECT *, SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                         AS neg_below FROM scores)""",
         """
-        scores AS (SELECT CAST(dep_delay AS DOUBLE) AS score, count_if(arr_delay > 15) AS pos,
-                          count_if(arr_delay <= 15) AS neg FROM flights GROUP BY 1)""",
+        scores AS (SELECT CAST(dep_delay AS DOUBLE) AS score, CAST(count_if(arr_delay > 15) AS BIGINT) AS pos,
+                          CAST(count_if(arr_delay <= 15) AS BIGINT) AS neg FROM flights GROUP BY 1)""",
     ),
 )
 def q_met3(spark, sf):
@@ -583,7 +583,7 @@ def q_met4(spark, sf):
 
 @register(
     "met5_class_balance",
-    O.oracle("SELECT count_if(arr_delay > 15) AS positive, count_if(arr_delay <= 15) AS negative FROM flights"),
+    O.oracle("SELECT CAST(count_if(arr_delay > 15) AS BIGINT) AS positive, CAST(count_if(arr_delay <= 15) AS BIGINT) AS negative FROM flights"),
 )
 def q_met5(spark, sf):
     return EV.class_balance(with_label(flights(spark, sf)), "delayed")
@@ -599,8 +599,8 @@ def q_met5(spark, sf):
         FROM scores
         WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
         """
-        scores AS (SELECT CAST(dep_delay AS DOUBLE) AS score, count_if(arr_delay > 15) AS pos,
-                          count_if(arr_delay <= 15) AS neg FROM flights GROUP BY 1)""",
+        scores AS (SELECT CAST(dep_delay AS DOUBLE) AS score, CAST(count_if(arr_delay > 15) AS BIGINT) AS pos,
+                          CAST(count_if(arr_delay <= 15) AS BIGINT) AS neg FROM flights GROUP BY 1)""",
     ),
 )
 def q_met8(spark, sf):

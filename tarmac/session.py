@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable-checkpoint files once their DataFrame is garbage collected
+    # (takes effect only when the context is created with it)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -62,18 +62,19 @@ def write_batch_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
 
-def write_predictions_sample(pred: DataFrame, path: str, limit: int, order_cols, label: str) -> None:
-    """First ``limit`` predictions in a fixed order (a top-k, not a full sort).
+def write_predictions_sample(pred: DataFrame, path: str, limit: int, key_cols, label: str) -> None:
+    """``limit`` predictions chosen by key hash (repeatable), written as one CSV.
 
-    Columns: the order columns, label, prediction and, for classifiers, the
+    Columns: the key columns, label, prediction and, for classifiers, the
     probability vector as ';'-joined text.
     """
-    cols = [*order_cols, label, "prediction"]
+    from tarmac.operators.sampling import bounded_sample
+
     extra = []
     if "probability" in pred.columns:
         extra = [F.concat_ws(";", vector_to_array("probability").cast("array<string>")).alias("probability")]
-    sample = pred.orderBy(*order_cols).limit(limit).select(*cols, *extra)
-    write_result_csv(sample, path)
+    rows = pred.select(*key_cols, label, "prediction", *extra)
+    write_result_csv(bounded_sample(rows, limit, list(key_cols)), path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

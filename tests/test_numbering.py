@@ -109,3 +109,20 @@ def test_regression_metrics(spark):
     p = np.array([b for _, b in pairs])
     assert abs(got["rmse"] - round(float(np.sqrt(np.mean((y - p) ** 2))), 6)) < 1e-9
     assert abs(got["r2"] - round(float(1 - np.sum((y - p) ** 2) / np.sum((y - y.mean()) ** 2)), 6)) < 1e-9
+
+
+@pytest.mark.parametrize("limit", [1, 7, 250, 5000])
+def test_bounded_sample_is_exact_top_k_by_hash(spark, limit):
+    import hashlib
+
+    rows = [(i % 997, f"k{i % 13}") for i in range(3000)] + [(5, "hot")] * 1500  # a third are copies
+    df = spark.createDataFrame(rows, "a int, b string")
+    from tarmac.operators.sampling import bounded_sample
+
+    got = sorted(tuple(r) for r in bounded_sample(df, limit, ["a", "b"]).collect())
+
+    def key(r):
+        return (hashlib.md5(f"{r[0]}|{r[1]}".encode()).hexdigest(), r[0], r[1])
+
+    want = sorted(sorted(rows, key=key)[:limit])
+    assert got == want
