@@ -227,6 +227,19 @@ def q_agg13(spark, sf):
     return SU.row_counts(with_label(flights(spark, sf)), "delayed")
 
 
+@register(
+    "fea1_delayed_label",
+    O.oracle("""SELECT CAST(arr_delay > 15 AS INTEGER) AS delayed, COUNT(*) AS n,
+                       MIN(arr_delay) AS min_arr_delay, MAX(arr_delay) AS max_arr_delay
+                FROM flights GROUP BY 1"""),
+)
+def q_fea1(spark, sf):
+    """The classification label (arrival delay strictly above 15 minutes) and its ranges."""
+    return (with_label(flights(spark, sf)).groupBy("delayed")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("arr_delay").alias("min_arr_delay"),
+                 F.max("arr_delay").alias("max_arr_delay")))
+
+
 @register(
     "agg14_histogram",
     O.oracle(
