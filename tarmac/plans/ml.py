@@ -93,10 +93,10 @@ def prepare(df: DataFrame, spec: ModelSpec, categorical=CATEGORICAL, numeric=NUM
 
 
 def feature_stages(spec: ModelSpec, categorical: Sequence[str], numeric: Sequence[str]):
+    # one multi-column indexer: all label counts come from a single pass
     stages = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep",
-                      stringOrderType="frequencyDesc")
-        for c in categorical
+        StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_idx" for c in categorical],
+                      handleInvalid="keep", stringOrderType="frequencyDesc")
     ]
     if spec.algo in LINEAR:
         stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical],
