@@ -34,7 +34,7 @@ _FITS: OrderedDict = OrderedDict()
 
 def fitted(spark: SparkSession, sf_dir: str, spec: ML.ModelSpec) -> ML.FitResult:
     """Fit (or reuse, per session and data folder) a pipeline on the flights."""
-    key = (id(spark), sf_dir, spec)
+    key = (spark.sparkContext.applicationId, sf_dir, spec)
     if key in _FITS:
         _FITS.move_to_end(key)
         return _FITS[key]

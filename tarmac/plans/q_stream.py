@@ -47,7 +47,7 @@ def replay_folder(spark: SparkSession, sf_dir: str) -> str:
                              path)
         return path
 
-    return _memo((id(spark), sf_dir, "replay"), make)
+    return _memo((spark.sparkContext.applicationId, sf_dir, "replay"), make)
 
 
 def snapshot_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -60,7 +60,7 @@ def snapshot_folder(spark: SparkSession, sf_dir: str) -> str:
         J.run_snapshots(J.running_avg_by_airline(stream.select("airline", "arr_delay")), out, ckpt)
         return out
 
-    return _memo((id(spark), sf_dir, "snapshots"), make)
+    return _memo((spark.sparkContext.applicationId, sf_dir, "snapshots"), make)
 
 
 def predictions_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -74,7 +74,7 @@ def predictions_folder(spark: SparkSession, sf_dir: str) -> str:
         J.run_scoring(stream, model, out, ckpt)
         return out
 
-    return _memo((id(spark), sf_dir, "predictions"), make)
+    return _memo((spark.sparkContext.applicationId, sf_dir, "predictions"), make)
 
 
 AVG_BY_AIRLINE_SQL = "SELECT airline, AVG(arr_delay) AS avg_arr_delay, COUNT(*) AS n FROM flights GROUP BY airline"
