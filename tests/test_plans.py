@@ -15,7 +15,13 @@ from conftest import SF_SMALL
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    spark = df.sparkSession
+    previous = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # do not truncate scan details
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", previous)
 
 
 def test_fact_table_is_never_broadcast(spark):
