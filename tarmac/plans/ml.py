@@ -133,19 +133,26 @@ def fit_and_score(
     categorical=CATEGORICAL,
     numeric=NUMERIC,
 ) -> FitResult:
-    """Split by key hash, fit on train, score test."""
+    """Split by key hash, fit on train, score test.
+
+    Only the columns the model needs are kept (plus the key on the test side, so
+    predictions can be traced back); both splits are persisted in that narrow
+    form, since the indexer pass, the estimator and every metric re-read them.
+    """
     categorical = [c for c in categorical if c in df.columns]
     numeric = [c for c in numeric if c in df.columns]
-    labelled = prepare(df, spec, categorical, numeric)
+    source = [c for c in dict.fromkeys([*key_cols, *categorical, *numeric, "arr_delay"]) if c in df.columns]
+    labelled = prepare(df.select(*source), spec, categorical, numeric)
+    features = [*categorical, *numeric, spec.label]
     train, test = train_test_split(labelled, key_cols, spec.train_pct)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select(*dict.fromkeys(features)).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    pipeline, features = build_pipeline(spec, categorical, numeric)
+    pipeline, feature_cols = build_pipeline(spec, categorical, numeric)
     model = pipeline.fit(train)
     pred = model.transform(test)
     if spec.task == "classify":
         pred = pred.withColumn("p_delayed", vector_to_array("probability")[1])
-    return FitResult(spec, model, train, test, pred, features, labelled)
+    return FitResult(spec, model, train, test, pred, feature_cols, labelled)
 
 
 # ------------------------------------------------------------------ reports
@@ -224,7 +231,9 @@ def run_report(result: FitResult) -> DataFrame:
     n_train, n_test = result.train.count(), result.test.count()
     pos = neg = None
     if spec.task == "classify":
-        bal = EV.class_balance(result.labelled, spec.label).first()
+        # over all labelled rows = both cached splits (no new pass over the source)
+        both = result.train.select(spec.label).unionByName(result.test.select(spec.label))
+        bal = EV.class_balance(both, spec.label).first()
         pos, neg = int(bal["positive"]), int(bal["negative"])
     m = metrics(result)
     row = (spec.task, spec.algo, spec.label, n_train, n_test, ",".join(result.feature_cols), pos, neg,
