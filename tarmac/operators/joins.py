@@ -1,10 +1,11 @@
 """Size-checked broadcast joins.
 
-A side is broadcast only when its row count is *proven* below a bound:
-``limit(bound + 1).count()`` stops each task after bound + 1 rows, so the check
-costs at most a bounded amount of work even on a huge table.  Beyond the bound
-the join is left to Spark's shuffle joins (sort-merge, with AQE's skew-join
-splitting of hot keys).  Checks of input tables are remembered per application
+A side is broadcast only when its row count is *proven* below a bound.  For a
+Parquet table the proof is its exact row count, which Spark computes from the
+files' footers (row-group row counts) in a parallel pass that decodes no column
+data — cheap even for a huge table, and it never gathers rows into one task.
+Beyond the bound the join is left to Spark's shuffle joins (sort-merge, with
+AQE's skew-join splitting of hot keys).  Checks are remembered per application
 and path, so repeated plans over the same tables do not repeat them.
 """
 
@@ -21,15 +22,15 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 _CHECKS: dict[tuple, bool] = {}
 
 
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded work to find out)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def table_rows(spark: SparkSession, path: str) -> int:
+    """Exact row count of a Parquet table (answered from file footers)."""
+    return spark.read.parquet(path).count()
 
 
 def table_is_small(spark: SparkSession, path: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     key = (spark.sparkContext.applicationId, path, max_rows)
     if key not in _CHECKS:
-        _CHECKS[key] = row_bound_holds(spark.read.parquet(path), max_rows)
+        _CHECKS[key] = table_rows(spark, path) <= max_rows
     return _CHECKS[key]
 
 
