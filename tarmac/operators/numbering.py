@@ -56,11 +56,15 @@ def global_row_number(
     the same multiset of (row, number).
     """
     checkpoint_root(df.sparkSession)
-    n = partitions or _default_parts(df)
     cols = _sort_cols(order)
     pid = F.spark_partition_id().cast("long")
+    # Without an explicit count the range exchange starts from the session's
+    # initial partition number and AQE merges neighbouring ranges up to the
+    # advisory size, so partition sizes follow the data volume; merged partitions
+    # are contiguous, so partition ids stay in key order.
+    by_range = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     ranged = (
-        df.repartitionByRange(n, *cols)
+        by_range
         .sortWithinPartitions(*cols)
         .withColumn("_pid", pid)
         # monotonically_increasing_id = partition index << 33 | position in partition

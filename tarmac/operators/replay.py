@@ -53,10 +53,11 @@ def batch_numbers(
     rows_per_batch: int = DEFAULT_ROWS_PER_BATCH,
     order: Sequence[Column] | None = None,
     keep_rn: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` = (row number - 1) div rows_per_batch, 0-based."""
     order = order or replay_order(df.columns)
-    numbered = global_row_number(df, order, out="rn")
+    numbered = global_row_number(df, order, out="rn", partitions=partitions)
     out = numbered.withColumn("batch_id", ((F.col("rn") - 1) / F.lit(rows_per_batch)).cast("int"))
     return out if keep_rn else out.drop("rn")
 
