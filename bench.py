@@ -84,6 +84,9 @@ def main() -> None:
         "sql2_by_month": lambda: S.run_sql(fl, S.by_month_sql()),
         "sql3_by_route": lambda: S.run_sql(fl, S.by_route_sql(500, 20)),
         "sql4_airport_on_time": lambda: S.run_sql(fl, S.airport_on_time_sql(1000)),
+        # the six per-dimension tables above in one scan (GROUPING SETS)
+        "agg_all_dimensions_one_pass": lambda: SU.multi_dimension_summary(
+            fl, [["airline"], ["year", "month"], ["origin", "dest"], ["origin"], ["dest"], ["day_of_week"]]),
         "met3_exact_auc_dep_delay_rule": lambda: EV.exact_auc(
             fl.withColumn("delayed", (fl.arr_delay > 15).cast("int")), "delayed", "dep_delay"),
     }
