@@ -117,6 +117,25 @@ def q_str3(spark, sf):
     return spark.read.parquet(out).select(*[f.name for f in STREAM_SCHEMA.fields])
 
 
+@register(
+    "str1_stream_avg_events",
+    "SELECT event_type AS airline, round(AVG(value), 6) AS avg_arr_delay, COUNT(*) AS n "
+    "FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL GROUP BY event_type",
+)
+def q_str1_events(spark, sf):
+    """The running average over the events table read as a Parquet file stream
+    (event type in the airline role, value in the delay role)."""
+    folder = sf.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    stream = J.read_table_stream(spark, folder, "events.parquet", schema)
+    mapped = J.normalise_stream(stream.select(F.col("event_type").alias("airline"),
+                                              F.col("value").alias("arr_delay")))
+    out, ckpt = work_dir(spark, "events_avg"), work_dir(spark, "events_avg_ckpt")
+    J.run_snapshots(J.running_avg_by_airline(mapped), out, ckpt)
+    snap = J.latest_snapshot(spark, out)
+    return snap.select("airline", F.round("avg_arr_delay", 6).alias("avg_arr_delay"), "n")
+
+
 @register("str2_stream_score")
 def q_str2(spark, sf):
     """All replayed flights scored by the reloaded pipeline, one batch folder per file."""

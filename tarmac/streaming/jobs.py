@@ -50,6 +50,22 @@ def read_replay_stream(
     )
 
 
+def read_table_stream(
+    spark: SparkSession,
+    folder: str,
+    file_glob: str,
+    schema: T.StructType,
+    max_files_per_trigger: int = 1,
+) -> DataFrame:
+    """Parquet files of one table in ``folder`` (those matching ``file_glob``) as a stream."""
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("pathGlobFilter", file_glob)
+        .parquet(folder)
+    )
+
+
 def normalise_stream(stream: DataFrame) -> DataFrame:
     """Date text -> date, missing derived columns filled, codes trimmed, unusable rows dropped."""
     out = stream
