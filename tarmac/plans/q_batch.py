@@ -21,9 +21,7 @@ from tarmac.functions.columns import (
     hhmm_to_hour,
     parse_date_multi,
     route_label,
-    row_key,
     to_double,
-    weekday_label,
     year_month_label,
 )
 from tarmac.operators import evaluate as EV
