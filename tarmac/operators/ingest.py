@@ -117,6 +117,21 @@ def fill_missing_derived(df: DataFrame) -> DataFrame:
     return add_derived(out)
 
 
+def coalesce_spellings(df: DataFrame, target: str, spellings: Sequence[str]) -> DataFrame:
+    """Merge columns that spell the same field differently into ``target``.
+
+    Under the default case-insensitive resolution ``arr_delay`` and ``ARR_DELAY``
+    are one column and this is a no-op; with ``spark.sql.caseSensitive`` on both
+    can exist, and the first non-NULL value wins (``target`` first).
+    """
+    present = [c for c in dict.fromkeys([target, *spellings]) if c in df.columns]
+    if len(present) <= 1:
+        return df.withColumnRenamed(present[0], target) if present and present[0] != target else df
+    merged = F.coalesce(*[F.col(f"`{c}`") for c in present])
+    others = [c for c in df.columns if c not in present]
+    return df.select(*[F.col(f"`{c}`") for c in others], merged.alias(target))
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Drop full-row duplicates (partial aggregation before the shuffle)."""
     return df.dropDuplicates()

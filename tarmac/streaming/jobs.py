@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.functions.columns import parse_date_multi
-from tarmac.operators.ingest import drop_null_required, fill_missing_derived
+from tarmac.operators.ingest import coalesce_spellings, drop_null_required, fill_missing_derived
 from tarmac.schema import REQUIRED_FOR_STREAM, STREAM_SCHEMA
 from tarmac.sinks.writers import write_batch_snapshot
 from tarmac.sources.files import read_predictions
@@ -68,7 +68,7 @@ def read_table_stream(
 
 def normalise_stream(stream: DataFrame) -> DataFrame:
     """Date text -> date, missing derived columns filled, codes trimmed, unusable rows dropped."""
-    out = stream
+    out = coalesce_spellings(stream, "arr_delay", ["ARR_DELAY"])
     if "flight_date" in out.columns and isinstance(out.schema["flight_date"].dataType, T.StringType):
         out = out.withColumn("flight_date", parse_date_multi(F.trim("flight_date")))
     if "flight_date" in out.columns:

@@ -82,3 +82,18 @@ def test_fill_missing_derived(spark):
                                "flight_date date, year int, month int, day_of_week string")
     got = [tuple(r) for r in IN.fill_missing_derived(df).select("year", "month", "day_of_week").collect()]
     assert got == [(2021, 7, "Mon"), (1999, 3, "Xyz")]
+
+
+def test_coalesce_spellings_case_sensitive(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = spark.createDataFrame([(1.0, None, "a"), (None, 2.0, "b"), (None, None, "c")],
+                                   "arr_delay double, ARR_DELAY double, k string")
+        got = IN.coalesce_spellings(df, "arr_delay", ["ARR_DELAY"])
+        assert sorted(got.columns) == ["arr_delay", "k"]
+        assert sorted((r.k, r.arr_delay) for r in got.collect()) == [("a", 1.0), ("b", 2.0), ("c", None)]
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    # default resolution: one column, nothing to merge
+    one = spark.createDataFrame([(3.0,)], "ARR_DELAY double")
+    assert IN.coalesce_spellings(one, "arr_delay", ["ARR_DELAY"]).columns == ["arr_delay"]
