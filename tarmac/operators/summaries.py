@@ -93,12 +93,19 @@ def share_pct(df: DataFrame, dims: str | Sequence[str], count_col: str = "count"
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 
 
-def distribution_summary(df: DataFrame, column: str = "arr_delay", digits: int = 6) -> DataFrame:
+def distribution_summary(
+    df: DataFrame,
+    column: str = "arr_delay",
+    digits: int = 6,
+    approx_accuracy: int | None = None,
+) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, one row each.
 
-    Quartiles are exact (``percentile_disc`` semantics: the first value whose
-    cumulative share reaches p), computed from per-value counts with distributed
-    prefix sums, so memory does not grow with the number of distinct values.
+    Quartiles are exact by default (``percentile_disc`` semantics: the first value
+    whose cumulative share reaches p), computed from per-value counts with
+    distributed prefix sums, so memory does not grow with the number of distinct
+    values.  ``approx_accuracy`` switches to ``percentile_approx`` sketches (one
+    pass, relative rank error 1/accuracy), the classic ``describe``-style quartiles.
     """
     x = F.col(column)
     moments = df.agg(
@@ -110,7 +117,12 @@ def distribution_summary(df: DataFrame, column: str = "arr_delay", digits: int =
             F.max(x).cast("double").alias("max"),
         )
     ).scalar()  # one scalar subquery, evaluated once
-    q = exact_quantiles(df, column, (0.25, 0.5, 0.75), names=("25%", "50%", "75%"))
+    probs = (0.25, 0.5, 0.75)
+    if approx_accuracy:
+        q = df.agg(F.percentile_approx(x.cast("double"), list(probs), approx_accuracy).alias("q")).select(
+            *[F.col("q")[i].alias(n) for i, n in enumerate(("25%", "50%", "75%"))])
+    else:
+        q = exact_quantiles(df, column, probs, names=("25%", "50%", "75%"))
     pairs = []
     for stat in SUMMARY_STATS:
         value = F.col(f"`{stat}`") if stat.endswith("%") else moments.getField(stat)
