@@ -149,19 +149,24 @@ def histogram(
     """Equal-width histogram of a clipped column.
 
     Values are clipped to [lower, upper]; the ``bins`` bins span the min..max of
-    the clipped values, the last bin is closed.  The bounds are a scalar
-    subquery evaluated once inside the plan (no driver round trip).
+    the clipped values, the last bin is closed.  The rows are read once: they are
+    reduced to counts per distinct clipped value, and the bounds (a scalar
+    subquery, no driver round trip) and bins come from that compact table.
     """
     clipped = F.least(F.greatest(F.col(column), F.lit(lower)), F.lit(upper))
-    values = df.select(clipped.alias("_v")).where(F.col("_v").isNotNull())
-    b = values.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("b")).scalar()
+    # one pass over the rows: counts per distinct clipped value (partial
+    # aggregation); bounds and bins are then taken from this compact table, whose
+    # exchange the bounds subquery reuses
+    counts = (df.select(clipped.alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")))
+    b = counts.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("b")).scalar()
     lo, width = b.getField("lo"), (b.getField("hi") - b.getField("lo")) / F.lit(bins)
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1))
     ).cast("int")
     return (
-        values.groupBy(idx.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        counts.groupBy(idx.alias("bin"))
+        .agg(F.sum("_c").alias("n"))
         .select(
             "bin",
             F.round(lo + F.col("bin") * width, 6).alias("bin_lo"),
