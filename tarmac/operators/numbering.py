@@ -142,6 +142,24 @@ def prefix_sums(
     )
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(value, w): rows per distinct non-NULL value, partially aggregated."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("w"))
+
+
+def quantiles_from_counts(counts: DataFrame, column: str, probs: Sequence[float],
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """``exact_quantiles`` over an already computed (value, w) table."""
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    cum = prefix_sums(counts, column, ["w"])
+    return cum.agg(
+        *[
+            F.min(F.when(F.col("cum_w") >= F.lit(p) * F.col("total_w"), F.col(column))).alias(name)
+            for p, name in zip(probs, names)
+        ]
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -154,16 +172,4 @@ def exact_quantiles(
     (value, count) pairs with partial aggregation, so a value repeated across a
     third of the rows is one row after the map side.
     """
-    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    cum = prefix_sums(counts, column, ["w"])
-    return cum.agg(
-        *[
-            F.min(F.when(F.col("cum_w") >= F.lit(p) * F.col("total_w"), F.col(column))).alias(name)
-            for p, name in zip(probs, names)
-        ]
-    )
+    return quantiles_from_counts(value_counts(df, column), column, probs, names)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import WEEKDAYS, weekday_ordinal
-from tarmac.operators.numbering import exact_quantiles
+from tarmac.operators.numbering import quantiles_from_counts, value_counts
+from tarmac.session import checkpoint_root
 
 
 def _as_list(x: str | Iterable[str]) -> list[str]:
@@ -101,28 +102,51 @@ def distribution_summary(
 ) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, one row each.
 
-    Quartiles are exact by default (``percentile_disc`` semantics: the first value
-    whose cumulative share reaches p), computed from per-value counts with
-    distributed prefix sums, so memory does not grow with the number of distinct
-    values.  ``approx_accuracy`` switches to ``percentile_approx`` sketches (one
+    Exact by default: the rows are read once into per-value counts (partial
+    aggregation), from which the moments and the quartiles (``percentile_disc``
+    semantics: the first value whose cumulative share reaches p, via distributed
+    prefix sums) are computed, so memory does not grow with the number of
+    distinct values.  ``approx_accuracy`` switches to ``percentile_approx`` sketches (one
     pass, relative rank error 1/accuracy), the classic ``describe``-style quartiles.
     """
     x = F.col(column)
-    moments = df.agg(
-        F.struct(
-            F.count(x).cast("double").alias("count"),
-            F.round(F.avg(x), digits).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("stddev"),
-            F.min(x).cast("double").alias("min"),
-            F.max(x).cast("double").alias("max"),
-        )
-    ).scalar()  # one scalar subquery, evaluated once
     probs = (0.25, 0.5, 0.75)
+    names = ("25%", "50%", "75%")
     if approx_accuracy:
+        moments = df.agg(
+            F.struct(
+                F.count(x).cast("double").alias("count"),
+                F.round(F.avg(x), digits).alias("mean"),
+                F.round(F.stddev_samp(x), digits).alias("stddev"),
+                F.min(x).cast("double").alias("min"),
+                F.max(x).cast("double").alias("max"),
+            )
+        ).scalar()
         q = df.agg(F.percentile_approx(x.cast("double"), list(probs), approx_accuracy).alias("q")).select(
-            *[F.col("q")[i].alias(n) for i, n in enumerate(("25%", "50%", "75%"))])
+            *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
     else:
-        q = exact_quantiles(df, column, probs, names=("25%", "50%", "75%"))
+        # the rows are read once, into (value, w) pairs, checkpointed; moments and
+        # quantiles all come from that compact table
+        checkpoint_root(df.sparkSession)
+        counts = value_counts(df, column).checkpoint(eager=True)
+        v, w = F.col(column).cast("double"), F.col("w")
+        first = counts.agg(F.struct(
+            F.sum(w).alias("n"), (F.sum(v * w) / F.sum(w)).alias("mean"),
+            F.min(v).alias("min"), F.max(v).alias("max"),
+        ).alias("m")).scalar()
+        # two-pass (centred) sum of squares: stable when the mean is large
+        second = counts.agg(
+            (F.sum(w * (v - first.getField("mean")) * (v - first.getField("mean")))
+             / (first.getField("n") - 1)).alias("var")
+        ).scalar()
+        moments = F.struct(
+            first.getField("n").cast("double").alias("count"),
+            F.round(first.getField("mean"), digits).alias("mean"),
+            F.round(F.sqrt(second), digits).alias("stddev"),
+            first.getField("min").alias("min"),
+            first.getField("max").alias("max"),
+        )
+        q = quantiles_from_counts(counts, column, probs, names)
     pairs = []
     for stat in SUMMARY_STATS:
         value = F.col(f"`{stat}`") if stat.endswith("%") else moments.getField(stat)

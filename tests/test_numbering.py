@@ -135,3 +135,20 @@ def test_bounded_sample_is_exact_top_k_by_hash(spark, limit):
 
     want = sorted(sorted(rows, key=key)[:limit])
     assert got == want
+
+
+def test_distribution_summary_against_numpy(spark):
+    from tarmac.operators.summaries import distribution_summary
+
+    rnd = random.Random(5)
+    values = [1e9 + rnd.random() for _ in range(3000)] + [1e9 + 0.5] * 1000  # large mean, hot value
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = {r.summary: r.x for r in distribution_summary(df, "x").collect()}
+    a = np.array(values)
+    assert got["count"] == len(values)
+    assert abs(got["mean"] - a.mean()) <= 1e-14 * abs(a.mean()) + 1e-6  # ulp(1e9) ~ 1e-7, plus rounding
+    assert abs(got["stddev"] - a.std(ddof=1)) < 1e-6
+    assert got["min"] == a.min() and got["max"] == a.max()
+    s = sorted(values)
+    for p, k in ((0.25, "25%"), (0.5, "50%"), (0.75, "75%")):
+        assert got[k] == s[max(0, int(np.ceil(p * len(s))) - 1)]
