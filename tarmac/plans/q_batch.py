@@ -482,10 +482,11 @@ def q_prj12(spark, sf):
                         (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM cleaned)) AS n_distinct"""),
 )
 def q_dst1(spark, sf):
+    """Rows delivered and rows left after de-duplication, from one pass: the
+    full-row grouping that de-duplicates also counts each row's copies."""
     raw = IN.normalise(raw_flights_text(spark, sf))
-    n_raw = raw.agg(F.count(F.lit(1))).scalar()
-    return IN.dedup_rows(raw).agg(F.count(F.lit(1)).alias("n_distinct")).select(
-        n_raw.alias("n_raw"), "n_distinct")
+    groups = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return groups.agg(F.sum("_copies").alias("n_raw"), F.count(F.lit(1)).alias("n_distinct"))
 
 
 @register("ingest_cleaned", O.oracle("SELECT * FROM cleaned"))
