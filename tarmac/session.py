@@ -3,7 +3,8 @@
 Jobs that must write intermediate data (replay files, model directories,
 stream checkpoints, lineage cuts) write below the folder the cluster names in
 ``spark.checkpoint.dir``.  A machine-local temporary folder is used only when the
-session has none configured, which is the case in tests and local runs.
+session has none configured and its master is a single local process (tests, a
+laptop); on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, configuring one if unset.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is missing (tests,
-    a laptop) a fresh temporary folder is registered.
+    The cluster's ``spark.checkpoint.dir`` wins; only when it is missing on a
+    ``local`` master a fresh temporary folder is registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="tarmac-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

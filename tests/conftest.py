@@ -16,7 +16,7 @@ def spark():
 
     from tarmac.session import BASE_CONF, checkpoint_root
 
-    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     s = builder.getOrCreate()
