@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup
+from tarmac.llm import exact_dedup, ngram_join, packing, sharding
 from tarmac.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,11 @@ def _query(oracle: str | None = None):
     return add
 
 
+@_query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query(
     """
     WITH d AS (
@@ -35,3 +40,31 @@ def _query(oracle: str | None = None):
 )
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# The end id after every document, as the packed format fixes it.
+END_ID = 2
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Pieces of all documents with their places; ids are reduced to their checksum."""
+    import public_tokenizers
+
+    pieces = packing.tokenised_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digests).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@_query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
