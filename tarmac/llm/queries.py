@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, ngram_join, packing, sharding
-from tarmac.llm.common import table
+from tarmac.llm import exact_dedup, ngram_join, packing, secrets, sharding, toxicity
+from tarmac.llm.common import fold, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,43 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """The model that the query and the pipeline use: rows of fold 0 are held out."""
+    return toxicity.train(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+
+
+@_query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        (fold(F.col("_row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("offending").alias("n_offending"),
+        F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("offending"),
+    )
+
+
+@_query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.joined("base"), 256).alias("base_sha256"),
+        secrets.joined("spans").alias("spans"),
+    )
+
+
 # The end id after every document, as the packed format fixes it.
 END_ID = 2
 
