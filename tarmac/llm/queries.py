@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, ngram_join, packing, secrets, sharding, toxicity
+from tarmac.llm import (
+    exact_dedup,
+    language_model,
+    ngram_join,
+    packing,
+    secrets,
+    sentencepiece_scan,
+    sharding,
+    toxicity,
+    vector_forest,
+    warc_revisits,
+)
 from tarmac.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -22,6 +33,18 @@ def _query(oracle: str | None = None):
     return add
 
 
+@_query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), model)
+    digests = encoded.withColumn("n_ids", (F.octet_length("ids") / 4).cast("long")).withColumn("ids_crc32", F.crc32("ids"))
+    return sentencepiece_scan.decode(digests, model).select(
+        "doc_id", "chunks", "n_ids", "ids_crc32", (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip")
+    )
+
+
 @_query()
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,6 +65,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op4_vector_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @_query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
@@ -105,3 +133,84 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 @_query()
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Capture records of the pages: a full response of each, and a later not-modified revisit.
+
+    Times follow the page ids.  Every fifth revisit names another entity tag, every seventh
+    none at all.
+    """
+    html = F.coalesce("html", F.lit(""))
+    tag, page = F.md5(html.cast("binary")), F.col("page_id")
+    full = F.concat(
+        F.lit("Content-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(html),
+        F.lit('\r\nETag: "'), tag, F.lit('"\r\nServer: origin\r\nCache-Control: max-age=60'),
+    )
+    new_tag = F.when(page % 7 == 0, F.lit("")).when(page % 5 == 0, F.lit('ETag: "new"\r\n')).otherwise(
+        F.concat(F.lit('ETag: W/"'), tag, F.lit('"\r\n'))
+    )
+    fresh = F.concat(F.lit("Content-Length: 0\r\n"), new_tag, F.lit("Cache-Control: max-age=3600\r\nAge: "), page % 50)
+    start = F.lit(1_600_000_000) + page * 60
+    digest = F.sha1(html.cast("binary"))
+    columns = ("record_id", "url", "ts", "kind", "headers", "payload_digest")
+    response = pages.select(*[c.alias(n) for n, c in zip(columns, (page * 2, F.col("url"), start, F.lit("response"), full, digest))])
+    revisit = pages.select(
+        *[c.alias(n) for n, c in zip(columns, (page * 2 + 1, F.col("url"), start + 30 + 86_400 * (page % 3), F.lit("revisit"), fresh, digest))]
+    )
+    return response.unionByName(revisit)
+
+
+@_query(
+    r"""
+    WITH p AS (
+      SELECT page_id, regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1) AS h,
+             regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2) AS path,
+             regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3) AS q,
+             md5(coalesce(html, '')) AS tag, strlen(coalesce(html, '')) AS size,
+             1600000000 + page_id * 60 AS t
+      FROM pages),
+    c AS (
+      SELECT *, regexp_replace(regexp_replace(lower(h), '^([^@]*@)?(www\.)?', ''), ':(80|443)$', '')
+                || regexp_replace(path, '/+$', '')
+                || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(q, '&'),
+                     lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid|sessionid)(=|$)'))), '&'), ''), '')
+                AS canonical_url
+      FROM p),
+    v AS (
+      SELECT page_id * 2 + 1 AS record_id, canonical_url, tag, t + 30 + 86400 * (page_id % 3) AS ts, page_id,
+             CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 5 = 0 THEN '"new"' ELSE 'W/"' || tag || '"' END AS etag
+      FROM c),
+    j AS (
+      SELECT v.*, c.page_id AS old, c.tag AS old_tag, c.size AS old_size
+      FROM v ASOF LEFT JOIN c ON v.canonical_url = c.canonical_url AND v.ts > c.t),
+    s AS (
+      SELECT *, CASE WHEN old IS NULL THEN 'orphan'
+                     WHEN etag IS NULL THEN CASE WHEN tag = old_tag THEN 'resolved' ELSE 'mismatch' END
+                     WHEN replace(etag, 'W/', '') = '"' || old_tag || '"' THEN 'resolved' ELSE 'mismatch' END AS status
+      FROM j)
+    SELECT record_id, canonical_url, old * 2 AS resolved_id, status,
+           CASE WHEN status = 'resolved' THEN
+             'age: ' || (page_id % 50) || chr(10) || 'cache-control: max-age=3600' || chr(10) || 'content-length: ' || old_size
+             || chr(10) || 'content-type: text/html; charset=utf-8' || chr(10) || 'etag: ' || coalesce(etag, '"' || old_tag || '"')
+             || chr(10) || 'server: origin'
+           ELSE
+             'age: ' || (page_id % 50) || chr(10) || 'cache-control: max-age=3600' || chr(10) || 'content-length: 0'
+             || coalesce(chr(10) || 'etag: ' || etag, '')
+           END AS headers
+    FROM s
+    """
+)
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc_revisits.resolve(page_captures(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return resolved.withColumn("headers", F.array_join(lines, "\n"))
+
+
+@_query()
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 7) == 2
+    scored = language_model.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("trained_on")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
