@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import checkpoint_root
+from tarmac.session import checkpoint_root, work_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """Cut the lineage through a Parquet table in the shared folder: (table read back, its path).
+
+    Unlike a checkpoint it has statistics of its own, so loops do not pile up estimates.
+    """
+    path = work_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete tables that ``written`` made."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

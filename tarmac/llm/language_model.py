@@ -293,8 +293,9 @@ def fit(texts: DataFrame, words_table: WordTable, tokens: int, documents: int =
 
     column = texts.columns[0]
     sample = texts.orderBy(F.xxhash64(column), column).limit(documents)
-    data = sample.repartition(1).mapInArrow(run, "model binary").first()["model"]
-    return GatedModel(words_table.size).unpack(data)
+    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    model = GatedModel(words_table.size)
+    return model.unpack(found["model"]) if found else model  # an empty table may have no task at all
 
 
 def score(

@@ -167,7 +167,7 @@ class Scorer:
 
     def __init__(self, model: dict[str, float]):
         self.model = model
-        self.bias = model.get(BIAS, -50.0)
+        self.bias = model.get(BIAS, -800.0)  # without a model no sentence is toxic
         self.words: dict[str, float] = {}
 
     def _word(self, word: str) -> float:
