@@ -80,10 +80,10 @@ def main() -> None:
                                                     order_by="avg_arr_delay"),
         "agg10_weekday": lambda: SU.weekday_summary(fl),
         "agg14_histogram": lambda: SU.histogram(fl),
-        "sql1_by_airline": lambda: S.run_sql(fl, S.by_airline_sql()),
-        "sql2_by_month": lambda: S.run_sql(fl, S.by_month_sql()),
-        "sql3_by_route": lambda: S.run_sql(fl, S.by_route_sql(500, 20)),
-        "sql4_airport_on_time": lambda: S.run_sql(fl, S.airport_on_time_sql(1000)),
+        "sql1_by_airline": lambda: S.run_sql(fl, S.by_airline()),
+        "sql2_by_month": lambda: S.run_sql(fl, S.by_month()),
+        "sql3_by_route": lambda: S.run_sql(fl, S.by_route(500, 20)),
+        "sql4_airport_on_time": lambda: S.run_sql(fl, S.airport_on_time(1000)),
         # the six per-dimension tables above in one scan (GROUPING SETS)
         "agg_all_dimensions_one_pass": lambda: SU.multi_dimension_summary(
             fl, [["airline"], ["year", "month"], ["origin", "dest"], ["origin"], ["dest"], ["day_of_week"]]),
@@ -101,7 +101,7 @@ def main() -> None:
 
     def stream():
         out, ckpt = work_dir(spark, "bench_snap"), work_dir(spark, "bench_snap_ckpt")
-        s = J.normalise_stream(J.read_replay_stream(spark, stream_src, AGG_STREAM_SCHEMA, 4))
+        s = J.normalise_stream(J.read_replay_stream(J.state_session(spark), stream_src, AGG_STREAM_SCHEMA, 4))
         J.run_snapshots(J.running_avg_by_airline(s.select("airline", "arr_delay")), out, ckpt)
         return J.latest_snapshot(spark, out).collect()
 
@@ -111,14 +111,15 @@ def main() -> None:
         def run():
             r = ML.fit_and_score(fl, spec, FLIGHT_KEY)
             rep = ML.run_report(r).collect()
-            r.train.unpersist()
-            r.test.unpersist()
+            r.release()
             return rep
 
         return run
 
     timed("model_lr", model(ML.ModelSpec("classify", "lr")))
     timed("model_linreg", model(ML.ModelSpec("regress", "linreg")))
+    timed("model_rf", model(ML.ModelSpec("classify", "rf")))
+    timed("model_rfreg", model(ML.ModelSpec("regress", "rfreg")))
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec",

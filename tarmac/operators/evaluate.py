@@ -42,9 +42,9 @@ def confusion_summary(df: DataFrame, label: str = "delayed", prediction: str = "
     total = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     return counts.select(
         "tn", "fp", "fn", "tp",
-        ((F.col("tn") + F.col("tp")) / total).alias("accuracy"),
-        (F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))).alias("precision"),
-        (F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0))).alias("recall"),
+        F.try_divide(F.col("tn") + F.col("tp"), total).alias("accuracy"),
+        F.try_divide("tp", F.col("tp") + F.col("fp")).alias("precision"),
+        F.try_divide("tp", F.col("tp") + F.col("fn")).alias("recall"),
     )
 
 
@@ -66,8 +66,8 @@ def regression_metrics(df: DataFrame, label: str = "arr_delay", prediction: str
     )
     return agg.select(
         "n",
-        F.round(F.sqrt(F.col("_sse") / F.col("n")), digits).alias("rmse"),
-        F.round(F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n")), digits).alias("r2"),
+        F.round(F.sqrt(F.try_divide("_sse", "n")), digits).alias("rmse"),
+        F.round(F.lit(1.0) - F.try_divide("_sse", F.col("_var") * F.col("n")), digits).alias("r2"),
     )
 
 
@@ -84,33 +84,41 @@ def score_counts(df: DataFrame, label: str = "delayed", score: str | Column = "s
 def exact_auc(df: DataFrame, label: str = "delayed", score: str | Column = "score") -> DataFrame:
     """Area under the ROC curve: P(score+ > score-) + P(score+ = score-) / 2.
 
-    One row: n_pos, n_neg, auc.
+    One row: n_pos, n_neg, auc (NULL when a class is absent).
     """
     counts = score_counts(df, label, score)
     below = prefix_sums(counts, "score", ["neg", "pos"], inclusive=False)
     agg = below.agg(
-        F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)).alias("_num"),
+        # doubles: products of two counts leave the long range at a few billion rows
+        F.sum(F.col("pos").cast("double") * (F.col("cum_neg") + F.col("neg") * 0.5)).alias("_num"),
         F.first("total_pos").alias("n_pos"),
         F.first("total_neg").alias("n_neg"),
     )
     return agg.select(
-        "n_pos", "n_neg",
-        (F.col("_num") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"),
+        F.coalesce("n_pos", F.lit(0)).alias("n_pos"),
+        F.coalesce("n_neg", F.lit(0)).alias("n_neg"),
+        F.try_divide("_num", F.col("n_pos").cast("double") * F.col("n_neg")).alias("auc"),
     )
 
 
-def roc_curve(df: DataFrame, label: str = "delayed", score: str | Column = "score") -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "delayed", score: str | Column = "score",
+              digits: int | None = None) -> DataFrame:
     """One ROC point per distinct score (descending thresholds) plus the origin.
 
-    threshold, fpr, tpr: rates of rows with score >= threshold.
+    threshold, fpr, tpr: rates of rows with score >= threshold (NULL for an absent
+    class).  ``digits`` thins the curve: of the thresholds whose rates round to the same
+    point the lowest stays.
     """
     counts = score_counts(df, label, score)
     cum = prefix_sums(counts, "score", ["pos", "neg"], descending=True, inclusive=True)
     points = cum.select(
         F.col("score").alias("threshold"),
-        (F.col("cum_neg") / F.col("total_neg")).alias("fpr"),
-        (F.col("cum_pos") / F.col("total_pos")).alias("tpr"),
+        F.try_divide("cum_neg", "total_neg").alias("fpr"),
+        F.try_divide("cum_pos", "total_pos").alias("tpr"),
     )
-    origin = counts.agg(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
-                        F.lit(0.0).alias("tpr"))
+    if digits is not None:
+        points = (points.groupBy(F.round("fpr", digits).alias("fpr"), F.round("tpr", digits).alias("tpr"))
+                  .agg(F.min("threshold").alias("threshold")).select("threshold", "fpr", "tpr"))
+    origin = df.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(points).orderBy(F.col("threshold").desc_nulls_first())

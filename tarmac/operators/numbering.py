@@ -14,11 +14,9 @@ parallel:
     the pass that counts partitions and the pass that applies the offsets.
 
 ``prefix_sums``
-    Running sums of weight columns along one numeric key (pre-aggregated to one
-    row per key value, e.g. per score).  Rows are cut into key ranges by
-    approximate quantiles (k split points, bounded), summed inside each range by a
-    window partitioned by the range, and shifted by the totals of earlier ranges
-    (a k-row table, broadcast).
+    Running sums of weight columns along one key (pre-aggregated to one row per
+    key value, e.g. per score), in the same way: range partitions, sums inside each,
+    shifted by the totals of earlier ranges (one row per range, broadcast).
 
 ``exact_quantiles`` builds on ``prefix_sums``: per-value counts, running counts,
 first value whose cumulative share reaches p (``percentile_disc``).
@@ -28,17 +26,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.session import checkpoint_root
 
 
-def _default_parts(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
@@ -51,12 +44,13 @@ def global_row_number(
 ) -> DataFrame:
     """1-based row number in the total order ``order``, computed in parallel.
 
-    ``order`` should be a total order (tie-break with enough columns); rows equal
-    on every ordering column are interchangeable, so any numbering of them gives
-    the same multiset of (row, number).
+    Rows equal on every ordering column are ordered by a hash of the whole row, so that
+    a value that very many rows share is still cut into several ranges; rows equal in
+    every column are interchangeable.
     """
     checkpoint_root(df.sparkSession)
-    cols = _sort_cols(order)
+    hashable = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    cols = [*_sort_cols(order), F.xxhash64(*[F.col(f"`{c}`") for c in hashable])]
     pid = F.spark_partition_id().cast("long")
     # Without an explicit count the range exchange starts from the session's
     # initial partition number and AQE merges neighbouring ranges up to the
@@ -82,17 +76,6 @@ def global_row_number(
     )
 
 
-def _splits(df: DataFrame, key: str, buckets: int) -> list[float]:
-    """k-1 interior split points (approximate quantiles of ``key``), strictly increasing."""
-    if buckets <= 1:
-        return [float("-inf"), float("inf")]
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 20 * buckets)
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("q")).first()
-    inner = sorted({float(v) for v in (row["q"] or [])})
-    return [float("-inf")] + inner + [float("inf")]
-
-
 def prefix_sums(
     df: DataFrame,
     key: str,
@@ -100,43 +83,37 @@ def prefix_sums(
     *,
     descending: bool = False,
     inclusive: bool = True,
-    buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<w>`` (running sum along ``key``) and ``total_<w>`` per weight.
 
     ``df`` should hold one row per key value (aggregate first); with duplicate
-    key values the running sums of the tied rows follow an arbitrary order.
-    ``inclusive`` includes the current row.  The key range split collects only
-    the k-1 split points to the driver; the compact input is checkpointed first.
+    key values the running sums of the tied rows follow an arbitrary order.  Any
+    orderable key works.  ``inclusive`` includes the current row.
+
+    The rows are range-partitioned on the key, checkpointed (both passes over them
+    see the same ranges), summed inside each range and shifted by the totals of the
+    ranges before it; nothing but one total per range meets in one task.
     """
-    k = buckets or _default_parts(df)
     checkpoint_root(df.sparkSession)
-    # The input is compact (one row per key value) and is read twice (split
-    # points, then the windows): materialise it once so both passes agree.
-    df = df.checkpoint(eager=True)
-    ordered = df.withColumn("_k", (-F.col(key) if descending else F.col(key)).cast("double"))
-    splits = _splits(ordered, "_k", k)
-    b = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep").transform(ordered)
-    frame_end = Window.currentRow if inclusive else -1
-    in_range = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, frame_end)
-    whole_range = Window.partitionBy("_b")
-    windowed = b.select(
-        "*",
-        *[F.coalesce(F.sum(w).over(in_range), F.lit(0)).alias(f"_run_{w}") for w in weights],
-        *[F.sum(w).over(whole_range).alias(f"_rt_{w}") for w in weights],
-    )
-    per_range = windowed.groupBy("_b").agg(*[F.first(f"_rt_{w}").alias(f"_rt_{w}") for w in weights])
-    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_first()
+    ranged = df.repartitionByRange(partitions, order) if partitions else df.repartitionByRange(order)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    # totals keep the weights' type, also where a range has none
+    totals = ranged.groupBy("_pid").agg(*[F.sum(w).alias(f"_rt_{w}") for w in weights])
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    # at most k rows: one per key range
-    offsets = per_range.select(
-        "_b",
+    # one row per range
+    offsets = totals.select(
+        "_pid",
         *[F.coalesce(F.sum(f"_rt_{w}").over(earlier), F.lit(0)).alias(f"_off_{w}") for w in weights],
         *[F.sum(f"_rt_{w}").over(everything).alias(f"total_{w}") for w in weights],
     )
-    out = windowed.join(F.broadcast(offsets), "_b")
-    return out.select(
-        *[c for c in df.columns],
+    in_range = Window.partitionBy("_pid").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    running = ranged.select("*", *[F.coalesce(F.sum(w).over(in_range), F.lit(0)).alias(f"_run_{w}") for w in weights])
+    return running.join(F.broadcast(offsets), "_pid").select(
+        *df.columns,
         *[(F.col(f"_off_{w}") + F.col(f"_run_{w}")).alias(f"cum_{w}") for w in weights],
         *[F.col(f"total_{w}") for w in weights],
     )
@@ -147,17 +124,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("w"))
 
 
-def quantiles_from_counts(counts: DataFrame, column: str, probs: Sequence[float],
-                          names: Sequence[str] | None = None) -> DataFrame:
-    """``exact_quantiles`` over an already computed (value, w) table."""
+def quantile_columns(column: str, probs: Sequence[float], names: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates that give the quantiles of ``prefix_sums(value_counts(df, column), column, ["w"])``."""
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    cum = prefix_sums(counts, column, ["w"])
-    return cum.agg(
-        *[
-            F.min(F.when(F.col("cum_w") >= F.lit(p) * F.col("total_w"), F.col(column))).alias(name)
-            for p, name in zip(probs, names)
-        ]
-    )
+    return [
+        F.min(F.when(F.col("cum_w") >= F.lit(p) * F.col("total_w"), F.col(column))).alias(name)
+        for p, name in zip(probs, names)
+    ]
 
 
 def exact_quantiles(
@@ -172,4 +145,4 @@ def exact_quantiles(
     (value, count) pairs with partial aggregation, so a value repeated across a
     third of the rows is one row after the map side.
     """
-    return quantiles_from_counts(value_counts(df, column), column, probs, names)
+    return prefix_sums(value_counts(df, column), column, ["w"]).agg(*quantile_columns(column, probs, names))

@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import WEEKDAYS, weekday_ordinal
-from tarmac.operators.numbering import quantiles_from_counts, value_counts
-from tarmac.session import checkpoint_root
+from tarmac.operators.numbering import prefix_sums, quantile_columns, value_counts
 
 
 def _as_list(x: str | Iterable[str]) -> list[str]:
@@ -102,56 +101,41 @@ def distribution_summary(
 ) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, one row each.
 
-    Exact by default: the rows are read once into per-value counts (partial
-    aggregation), from which the moments and the quartiles (``percentile_disc``
-    semantics: the first value whose cumulative share reaches p, via distributed
-    prefix sums) are computed, so memory does not grow with the number of
-    distinct values.  ``approx_accuracy`` switches to ``percentile_approx`` sketches (one
-    pass, relative rank error 1/accuracy), the classic ``describe``-style quartiles.
+    Exact by default: the rows are read once, into (value, count) pairs with running
+    counts along the value (one checkpoint); moments and quartiles (``percentile_disc``
+    semantics: the first value whose cumulative share reaches p) are aggregates of that
+    table, which holds one row per distinct value.  For a continuous column with very
+    many values ``approx_accuracy`` gives ``percentile_approx`` quartiles (relative rank
+    error 1/accuracy) in one aggregate without that table.  An empty column has count
+    0 and NULL elsewhere; one row has no stddev.
     """
     x = F.col(column)
     probs = (0.25, 0.5, 0.75)
     names = ("25%", "50%", "75%")
     if approx_accuracy:
-        moments = df.agg(
-            F.struct(
-                F.count(x).cast("double").alias("count"),
-                F.round(F.avg(x), digits).alias("mean"),
-                F.round(F.stddev_samp(x), digits).alias("stddev"),
-                F.min(x).cast("double").alias("min"),
-                F.max(x).cast("double").alias("max"),
-            )
-        ).scalar()
-        q = df.agg(F.percentile_approx(x.cast("double"), list(probs), approx_accuracy).alias("q")).select(
-            *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+        quartiles = F.percentile_approx(x.cast("double"), list(probs), approx_accuracy)
+        row = df.agg(
+            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
+            F.min(x).alias("min"), F.max(x).alias("max"), quartiles.alias("_q"),
+        ).select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     else:
-        # the rows are read once, into (value, w) pairs, checkpointed; moments and
-        # quantiles all come from that compact table
-        checkpoint_root(df.sparkSession)
-        counts = value_counts(df, column).checkpoint(eager=True)
-        v, w = F.col(column).cast("double"), F.col("w")
-        first = counts.agg(F.struct(
-            F.sum(w).alias("n"), (F.sum(v * w) / F.sum(w)).alias("mean"),
-            F.min(v).alias("min"), F.max(v).alias("max"),
-        ).alias("m")).scalar()
-        # two-pass (centred) sum of squares: stable when the mean is large
-        second = counts.agg(
-            (F.sum(w * (v - first.getField("mean")) * (v - first.getField("mean")))
-             / (first.getField("n") - 1)).alias("var")
-        ).scalar()
-        moments = F.struct(
-            first.getField("n").cast("double").alias("count"),
-            F.round(first.getField("mean"), digits).alias("mean"),
-            F.round(F.sqrt(second), digits).alias("stddev"),
-            first.getField("min").alias("min"),
-            first.getField("max").alias("max"),
+        table = prefix_sums(value_counts(df, column), column, ["w"])
+        v, w = x.cast("double"), F.col("w")
+        first = table.agg(
+            F.coalesce(F.sum(w), F.lit(0)).alias("count"), F.try_divide(F.sum(v * w), F.sum(w)).alias("mean"),
+            F.min(v).alias("min"), F.max(v).alias("max"), *quantile_columns(column, probs, names),
         )
-        q = quantiles_from_counts(counts, column, probs, names)
+        # centred sum of squares: stable when the mean is large
+        mean = first.select("mean").scalar()
+        squares = table.agg(F.sum(w * (v - mean) * (v - mean)).alias("s")).scalar()
+        row = first.withColumn("stddev", F.sqrt(F.try_divide(squares, F.col("count") - 1)))
+    row = row.select(
+        "*", F.round("mean", digits).alias("_mean"), F.round("stddev", digits).alias("_stddev")
+    ).drop("mean", "stddev").withColumnsRenamed({"_mean": "mean", "_stddev": "stddev"})
     pairs = []
     for stat in SUMMARY_STATS:
-        value = F.col(f"`{stat}`") if stat.endswith("%") else moments.getField(stat)
-        pairs += [F.lit(stat), value.cast("double")]
-    return q.select(F.stack(F.lit(len(SUMMARY_STATS)), *pairs).alias("summary", column))
+        pairs += [F.lit(stat), F.col(f"`{stat}`").cast("double")]
+    return row.select(F.stack(F.lit(len(SUMMARY_STATS)), *pairs).alias("summary", column))
 
 
 def correlation(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:

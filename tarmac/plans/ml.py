@@ -5,16 +5,16 @@ Task x algorithm:  classify -> lr (logistic regression) | rf (random forest)
 
 Categoricals are indexed (unseen values kept as an extra index); linear models
 one-hot encode them, tree models use the indices.  The train/test split is a hash
-of the row's key columns (repeatable on any cluster), both sides are persisted
-(the estimators iterate over them), and the whole pipeline — indexers, encoder,
-assembler, estimator — is what gets saved.  Metrics are computed exactly from the
-prediction table as aggregates; the ROC-AUC also comes from Spark's evaluator.
+of the row's key columns (repeatable on any cluster).  The source is read once: the
+narrow table of labelled rows is tagged with its split and persisted, and the scored
+test rows are persisted in their narrow form, from which all metrics are aggregates.
+The whole pipeline — indexers, encoder, assembler, estimator — is what gets saved.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tarmac.functions.columns import delayed_label
 from tarmac.operators import evaluate as EV
-from tarmac.operators.sampling import train_test_split
+from tarmac.operators.sampling import train_test_split, with_split
 
 CATEGORICAL = ("airline", "origin", "dest", "day_of_week")
 NUMERIC = ("dep_delay", "distance", "month", "year")
@@ -71,13 +71,17 @@ class FitResult:
     test: DataFrame
     predictions: DataFrame
     feature_cols: list[str]
-    labelled: DataFrame
-    extras: dict = field(default_factory=dict)
+    tagged: DataFrame  # persisted: labelled rows with their split
+    scored: DataFrame  # persisted: test labels, predictions and scores
 
     @property
     def estimator(self):
         return self.model.stages[-1]
 
+    def release(self) -> None:
+        self.scored.unpersist()
+        self.tagged.unpersist()
+
 
 def prepare(df: DataFrame, spec: ModelSpec, categorical=CATEGORICAL, numeric=NUMERIC) -> DataFrame:
     """Label column plus the rows that carry a label and every feature.
@@ -135,24 +139,25 @@ def fit_and_score(
 ) -> FitResult:
     """Split by key hash, fit on train, score test.
 
-    Only the columns the model needs are kept (plus the key on the test side, so
-    predictions can be traced back); both splits are persisted in that narrow
-    form, since the indexer pass, the estimator and every metric re-read them.
+    Only the key, the model's columns and the split are kept and persisted: the indexer
+    pass, the estimator's iterations and the scoring re-read that table, not the source.
     """
     categorical = [c for c in categorical if c in df.columns]
     numeric = [c for c in numeric if c in df.columns]
     source = [c for c in dict.fromkeys([*key_cols, *categorical, *numeric, "arr_delay"]) if c in df.columns]
     labelled = prepare(df.select(*source), spec, categorical, numeric)
     features = [*categorical, *numeric, spec.label]
-    train, test = train_test_split(labelled, key_cols, spec.train_pct)
-    train = train.select(*dict.fromkeys(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = with_split(labelled, key_cols, spec.train_pct).persist(StorageLevel.MEMORY_AND_DISK)
+    train = tagged.where("split = 'train'").select(*dict.fromkeys(features))
+    test = tagged.where("split = 'test'").drop("split")
     pipeline, feature_cols = build_pipeline(spec, categorical, numeric)
     model = pipeline.fit(train)
     pred = model.transform(test)
     if spec.task == "classify":
         pred = pred.withColumn("p_delayed", vector_to_array("probability")[1])
-    return FitResult(spec, model, train, test, pred, feature_cols, labelled)
+    narrow = [spec.label, "prediction"] + [c for c in ("rawPrediction", "p_delayed") if c in pred.columns]
+    scored = pred.select(*narrow).persist(StorageLevel.MEMORY_AND_DISK)
+    return FitResult(spec, model, train, test, pred, feature_cols, tagged, scored)
 
 
 # ------------------------------------------------------------------ reports
@@ -199,13 +204,13 @@ def coefficients(result: FitResult) -> DataFrame:
 
 
 def metrics(result: FitResult) -> dict:
-    spec, pred = result.spec, result.predictions
+    spec, pred = result.spec, result.scored
     if spec.task == "classify":
         auc = BinaryClassificationEvaluator(labelCol=spec.label, metricName="areaUnderROC").evaluate(pred)
         exact = EV.exact_auc(pred, spec.label, "p_delayed").first()
-        return {"roc_auc": float(auc), "exact_auc": float(exact["auc"])}
+        return {"roc_auc": float(auc), "exact_auc": exact["auc"], "n_pos": exact["n_pos"], "n_neg": exact["n_neg"]}
     reg = EV.regression_metrics(pred, spec.label, "prediction").first()
-    return {"rmse": float(reg["rmse"]), "r2": float(reg["r2"]),
+    return {"rmse": reg["rmse"], "r2": reg["r2"],
             "evaluator_rmse": float(RegressionEvaluator(labelCol=spec.label, metricName="rmse").evaluate(pred))}
 
 
@@ -227,18 +232,21 @@ REPORT_SCHEMA = T.StructType([
 
 def run_report(result: FitResult) -> DataFrame:
     """One row describing the run: sizes, features, class balance, metrics."""
-    spec = result.spec
-    n_train, n_test = result.train.count(), result.test.count()
-    pos = neg = None
-    if spec.task == "classify":
-        # over all labelled rows = both cached splits (no new pass over the source)
-        both = result.train.select(spec.label).unionByName(result.test.select(spec.label))
-        bal = EV.class_balance(both, spec.label).first()
-        pos, neg = int(bal["positive"]), int(bal["negative"])
     m = metrics(result)
-    row = (spec.task, spec.algo, spec.label, n_train, n_test, ",".join(result.feature_cols), pos, neg,
-           m.get("roc_auc"), m.get("exact_auc"), m.get("rmse"), m.get("r2"))
-    return result.predictions.sparkSession.createDataFrame([row], REPORT_SCHEMA)
+    scores = [F.lit(m.get(k)).cast("double").alias(k) for k in ("roc_auc", "exact_auc", "rmse", "r2")]
+    return run_counts(result).select("*", *scores).select(*[f.name for f in REPORT_SCHEMA.fields])
+
+
+def run_counts(result: FitResult) -> DataFrame:
+    """The part of the report that no optimiser decides: split sizes, features, class balance."""
+    spec, y = result.spec, F.col(result.spec.label)
+    balance = [F.count_if(y == v) if spec.task == "classify" else F.lit(None).cast("long") for v in (1, 0)]
+    return result.tagged.agg(
+        F.lit(spec.task).alias("task"), F.lit(spec.algo).alias("algo"), F.lit(spec.label).alias("label_col"),
+        F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"),
+        F.lit(",".join(result.feature_cols)).alias("features"),
+        balance[0].alias("positive"), balance[1].alias("negative"),
+    )
 
 
 # ------------------------------------------------- monthly aggregate model
@@ -257,7 +265,8 @@ def monthly_regression(flights: DataFrame, train_pct: int = 80, max_iter: int =
     The monthly table is aggregated from the flights first (small: months x
     airlines); reports training-summary and test RMSE / R².
     """
-    table = monthly_table(flights).na.drop()
+    # months x airlines: a few hundred rows, aggregated once
+    table = monthly_table(flights).na.drop().persist(StorageLevel.MEMORY_AND_DISK)
     # the airline index is fitted on the whole (small) monthly table, so every
     # airline of the test split is known
     indexed = StringIndexer(inputCol="airline", outputCol="airline_index").fit(table).transform(table)
@@ -270,5 +279,6 @@ def monthly_regression(flights: DataFrame, train_pct: int = 80, max_iter: int =
     test_m = EV.regression_metrics(model.transform(test), "avg_arr_delay", "prediction").first()
     row = (train.count(), int(test_m["n"]), float(summary.rootMeanSquaredError), float(summary.r2),
            test_m["rmse"], test_m["r2"])
+    table.unpersist()
     schema = "n_train long, n_test long, train_rmse double, train_r2 double, test_rmse double, test_r2 double"
     return flights.sparkSession.createDataFrame([row], schema)

@@ -30,6 +30,7 @@ from tarmac.operators import replay as RP
 from tarmac.operators import sampling as SM
 from tarmac.operators import summaries as SU
 from tarmac.plans import oracle as O
+from tarmac.plans.ml import monthly_table
 from tarmac.plans import sql as S
 from tarmac.plans.registry import register
 from tarmac.schema import CURATED_COLUMNS
@@ -65,7 +66,7 @@ def with_label(df: DataFrame) -> DataFrame:
         FROM flights GROUP BY airline"""),
 )
 def q_sql1(spark, sf):
-    return S.run_sql(flights(spark, sf), S.by_airline_sql())
+    return S.run_sql(flights(spark, sf), S.by_airline())
 
 
 @register(
@@ -75,7 +76,7 @@ def q_sql1(spark, sf):
         FROM flights GROUP BY year, month"""),
 )
 def q_sql2(spark, sf):
-    return S.run_sql(flights(spark, sf), S.by_month_sql())
+    return S.run_sql(flights(spark, sf), S.by_month())
 
 
 @register(
@@ -86,25 +87,21 @@ def q_sql2(spark, sf):
         ORDER BY avg_arr_delay DESC, origin, dest LIMIT {TOP_ROUTES}"""),
 )
 def q_sql3(spark, sf):
-    return S.run_sql(flights(spark, sf), S.by_route_sql(ROUTE_MIN_FLIGHTS, TOP_ROUTES))
+    return S.run_sql(flights(spark, sf), S.by_route(ROUTE_MIN_FLIGHTS, TOP_ROUTES))
 
 
 @register(
     "sql4_airport_on_time",
     O.oracle(
         f"""
-        SELECT airport, num_flights, {O.half_up_rate('on_time', 'num_flights')} AS on_time_rate
-        FROM per_airport WHERE num_flights >= {AIRPORT_MIN_FLIGHTS}""",
-        """
-        per_airport AS (
-            SELECT origin AS airport, COUNT(*) AS num_flights,
-                   SUM(CASE WHEN arr_delay <= 15 THEN 1 ELSE 0 END) AS on_time
-            FROM flights GROUP BY origin
-        )""",
+        SELECT origin AS airport, len(delays) AS num_flights,
+               {O.half_up_rate('len(list_filter(delays, lambda d: d <= 15))', 'len(delays)')} AS on_time_rate
+        FROM (SELECT origin, list(arr_delay) AS delays FROM flights GROUP BY origin)
+        WHERE len(delays) >= {AIRPORT_MIN_FLIGHTS}""",
     ),
 )
 def q_sql4(spark, sf):
-    return S.run_sql(flights(spark, sf), S.airport_on_time_sql(AIRPORT_MIN_FLIGHTS))
+    return S.run_sql(flights(spark, sf), S.airport_on_time(AIRPORT_MIN_FLIGHTS))
 
 
 # =============================================================== summaries
@@ -293,28 +290,27 @@ MONTHLY_AIRLINE_SQL = """
     )"""
 
 
-def monthly_airline_table(fl: DataFrame) -> DataFrame:
-    """Per (month of year, airline): flights, delayed flights, mean delay."""
-    return fl.groupBy("month", "airline").agg(
-        F.count(F.lit(1)).alias("total_flights"),
-        F.count_if(F.col("arr_delay") > 15).alias("total_delays"),
-        F.avg("arr_delay").alias("avg_arr_delay"),
-    )
-
-
 @register(
     "met10_top_months_by_delays",
     O.oracle(f"""SELECT * FROM monthly
                  ORDER BY total_delays DESC, month, airline LIMIT {TOP_MONTHS}""", MONTHLY_AIRLINE_SQL),
 )
 def q_top_months(spark, sf):
-    return (monthly_airline_table(flights(spark, sf))
+    return (monthly_table(flights(spark, sf))
             .orderBy(F.col("total_delays").desc(), "month", "airline").limit(TOP_MONTHS))
 
 
-@register("flt2_drop_null_any", O.oracle("SELECT * FROM monthly", MONTHLY_AIRLINE_SQL))
+@register(
+    "flt2_drop_null_any",
+    O.oracle("""SELECT month, airline, cancellation_code, COUNT(*) AS n FROM cleaned
+                WHERE arr_delay IS NULL AND cancellation_code IS NOT NULL GROUP BY ALL
+                HAVING COUNT(*) > 0"""),
+)
 def q_flt2(spark, sf):
-    return IN.drop_null_any(monthly_airline_table(flights(spark, sf)))
+    """Groups of cleaned rows (delayed and cancelled ones) with every NULL group dropped."""
+    groups = flights_cleaned(spark, sf).groupBy("month", "airline", "cancellation_code").agg(
+        F.count(F.lit(1)).alias("n"))
+    return IN.drop_null_any(groups)
 
 
 @register(
@@ -349,6 +345,23 @@ def q_spl1(spark, sf):
 RAW_COPIES_SQL = "CASE WHEN l_orderkey % 100 = 0 THEN 2 ELSE 1 END"
 
 
+@register(
+    "prj10_coalesce_alias",
+    O.oracle("""SELECT airline, COUNT(*) AS n, CAST(COUNT(arr_delay) AS BIGINT) AS n_delays,
+                       SUM(arr_delay) AS sum_delay FROM cleaned GROUP BY airline"""),
+)
+def q_prj10(spark, sf):
+    """Two spellings of the arrival delay, each filled in every other row, merged into one column."""
+    rows = flights_cleaned(spark, sf)
+    first = F.col("crs_dep_time") % 2 == 0
+    feed = rows.select("airline", F.when(first, F.col("arr_delay")).alias("ArrDelay"),
+                       F.when(~first, F.col("arr_delay")).alias("arrival_delay"))
+    merged = IN.coalesce_spellings(feed, "arrival_delay", ["ArrDelay"])
+    return merged.groupBy("airline").agg(
+        F.count(F.lit(1)).alias("n"), F.count("arrival_delay").alias("n_delays"),
+        F.sum("arrival_delay").alias("sum_delay"))
+
+
 @register("prj1_rename_headers")
 def q_prj1(spark, sf):
     return IN.rename_headers(raw_flights_text(spark, sf))

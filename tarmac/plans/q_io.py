@@ -98,6 +98,14 @@ def q_src4(spark, sf):
     return IN.curated_projection(df, CURATED_COLUMNS)
 
 
+@register("src4_curated_branch", O.oracle("SELECT * FROM flights"))
+def q_src4_curated(spark, sf):
+    """A readable curated table wins: the raw location given beside it does not exist."""
+    path = work_dir(spark, "curated")
+    W.write_curated(IN.curated_projection(flights(spark, sf), CURATED_COLUMNS), path)
+    return FS.load_flights(spark, path, work_dir(spark, "no_raw_here")).select(*CURATED_COLUMNS)
+
+
 BY_AIRLINE_SCHEMA = "airline string, avg_arr_delay double, n long"
 
 
@@ -114,7 +122,7 @@ def q_src6(spark, sf):
 @register("snk2_result_csv", None)
 def q_snk2(spark, sf):
     path = work_dir(spark, "airport_on_time_csv")
-    W.write_result_csv(S.run_sql(flights(spark, sf), S.airport_on_time_sql(AIRPORT_MIN_FLIGHTS)), path)
+    W.write_result_csv(S.run_sql(flights(spark, sf), S.airport_on_time(AIRPORT_MIN_FLIGHTS)), path)
     return FS.read_result_csv(spark, path, "airport string, num_flights long, on_time_rate double")
 
 

@@ -9,42 +9,33 @@ and data folder instead of being refitted for each table.
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import evaluate as EV
 from tarmac.plans import ml as ML
 from tarmac.plans import oracle as O
-from tarmac.plans.q_batch import FLIGHT_KEY
+from tarmac.plans.q_batch import FLIGHT_KEY, FLIGHT_KEY_SQL
 from tarmac.plans.registry import register
-from tarmac.session import work_dir
+from tarmac.session import Fixtures, work_dir
 from tarmac.sinks import writers as W
 from tarmac.sources import files as FS
 from tarmac.sources.fixtures import flights
 
 PREDICTION_SAMPLE_ROWS = 10_000
 
-_FITS: OrderedDict = OrderedDict()
+_FITS = Fixtures(keep=4)
 
 
 def fitted(spark: SparkSession, sf_dir: str, spec: ML.ModelSpec) -> ML.FitResult:
-    """Fit (or reuse, per session and data folder) a pipeline on the flights."""
-    key = (spark.sparkContext.applicationId, sf_dir, spec)
-    if key in _FITS:
-        _FITS.move_to_end(key)
-        return _FITS[key]
-    result = ML.fit_and_score(flights(spark, sf_dir), spec, FLIGHT_KEY)
-    _FITS[key] = result
-    while len(_FITS) > 4:
-        _, old = _FITS.popitem(last=False)
-        old.train.unpersist()
-        old.test.unpersist()
-    return result
+    """Fit (or reuse, per session and state of the data) a pipeline on the flights."""
+    return _FITS.get(spark, sf_dir, spec, lambda: ML.fit_and_score(flights(spark, sf_dir), spec, FLIGHT_KEY),
+                     lambda _, old: old.release())
 
 
 LR = ML.ModelSpec("classify", "lr")
@@ -91,11 +82,13 @@ def q_fea3(spark, sf):
         StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep"),
         OneHotEncoder(inputCols=idx, outputCols=oh, handleInvalid="keep"),
     ]).fit(fl)
-    enc = model.transform(fl).select(*[vector_to_array(o).alias(o) for o in oh])
+    enc = model.transform(fl)
+    # the width is in the column's metadata; a row's hot slot is its index, so vectors stay sparse
+    width = {o: enc.schema[o].metadata["ml_attr"]["num_attrs"] for o in oh}
     per = enc.agg(*[
-        F.struct(F.max(F.size(o)).alias("vector_size"), F.count(F.lit(1)).alias("n_rows"),
-                 F.count_if(F.array_contains(o, 1.0)).alias("n_hot")).alias(c)
-        for c, o in zip(cats, oh)
+        F.struct(F.lit(width[o]).alias("vector_size"), F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if((F.col(i) >= 0) & (F.col(i) < width[o])).alias("n_hot")).alias(c)
+        for c, i, o in zip(cats, idx, oh)
     ])
     stacked = per.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}.vector_size").alias("vector_size"),
@@ -114,11 +107,223 @@ def q_fea4(spark, sf):
     fl = flights(spark, sf)
     stages, _ = ML.feature_stages(LR, ML.CATEGORICAL, ML.NUMERIC)
     assembled = Pipeline(stages=stages).fit(fl).transform(fl)
-    return assembled.agg(F.count(F.lit(1)).alias("n_rows"),
-                         F.max(F.size(vector_to_array("features"))).alias("vector_size"))
+    width = assembled.schema["features"].metadata["ml_attr"]["num_attrs"]
+    return assembled.agg(F.count_if(F.col("features").isNotNull()).alias("n_rows"), F.lit(width).alias("vector_size"))
 
 
 # ------------------------------------------------------------------ models
+# The split of a labelled flight, and the parts of the models' results that SQL can state.
+TAGGED_SQL = f"""
+    tagged AS (
+        SELECT *, CAST(arr_delay > 15 AS INTEGER) AS delayed,
+               CASE WHEN ('0x' || substr(md5({FLIGHT_KEY_SQL}), 1, 8))::BIGINT % 100 < 70
+                    THEN 'train' ELSE 'test' END AS split
+        FROM flights)"""
+
+
+def _counts_sql(spec: ML.ModelSpec) -> str:
+    suffix = "oh" if spec.algo in ML.LINEAR else "idx"
+    features = ",".join([*(f"{c}_{suffix}" for c in ML.CATEGORICAL), *ML.NUMERIC])
+    balance = ("CAST(count_if(delayed = 1) AS BIGINT)", "CAST(count_if(delayed = 0) AS BIGINT)")
+    if spec.task == "regress":
+        balance = ("NULL::BIGINT", "NULL::BIGINT")
+    return f"""SELECT '{spec.task}' AS task, '{spec.algo}' AS algo, '{spec.label}' AS label_col,
+                      CAST(count_if(split = 'train') AS BIGINT) AS n_train,
+                      CAST(count_if(split = 'test') AS BIGINT) AS n_test, '{features}' AS features,
+                      {balance[0]} AS positive, {balance[1]} AS negative FROM tagged"""
+
+
+def _register_counts(name: str, *specs: ML.ModelSpec) -> None:
+    @register(name, O.oracle("\nUNION ALL\n".join(map(_counts_sql, specs)), TAGGED_SQL))
+    def counts(spark, sf):
+        rows = [ML.run_counts(fitted(spark, sf, spec)) for spec in specs]
+        return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+
+_register_counts("mod1_logistic_regression_counts", LR)
+_register_counts("mod2_random_forest_classifier_counts", RF)
+_register_counts("mod3_linear_regression_counts", LINREG)
+_register_counts("mod4_random_forest_regressor_counts", RFREG)
+_register_counts("met9_run_report_counts", LR, LINREG)
+
+
+@register(
+    "mod3_one_predictor",
+    O.oracle("""SELECT round(regr_slope(arr_delay, dep_delay), 6) AS slope,
+                       round(regr_intercept(arr_delay, dep_delay), 6) AS intercept,
+                       round(regr_r2(arr_delay, dep_delay), 6) AS r2 FROM flights"""),
+)
+def q_mod3_one(spark, sf):
+    """Linear regression on the departure delay alone: the closed form."""
+    rows = VectorAssembler(inputCols=["dep_delay"], outputCol="features").transform(
+        flights(spark, sf).select("arr_delay", "dep_delay").dropna())
+    model = LinearRegression(labelCol="arr_delay", solver="normal").fit(rows)
+    row = (round(float(model.coefficients[0]), 6), round(float(model.intercept), 6), round(float(model.summary.r2), 6))
+    return spark.createDataFrame([row], "slope double, intercept double, r2 double")
+
+
+@register(
+    "mod1_one_predictor",
+    O.oracle("""SELECT round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 3) AS coefficient,
+                       round(ln(p0 / (1 - p0)), 3) AS intercept
+                FROM (SELECT AVG(CASE WHEN dep_delay > 15 THEN delayed END) AS p1,
+                             AVG(CASE WHEN dep_delay <= 15 THEN delayed END) AS p0 FROM tagged)""", TAGGED_SQL),
+)
+def q_mod1_one(spark, sf):
+    """Logistic regression on one 0/1 predictor (late departure): the groups' log-odds."""
+    fl = flights(spark, sf)
+    rows = fl.select((F.col("arr_delay") > 15).cast("double").alias("delayed"),
+                     (F.col("dep_delay") > 15).cast("double").alias("late"))
+    model = LogisticRegression(labelCol="delayed", maxIter=200, tol=1e-10).fit(
+        VectorAssembler(inputCols=["late"], outputCol="features").transform(rows))
+    row = (round(float(model.coefficients[0]), 3), round(float(model.intercept), 3))
+    return spark.createDataFrame([row], "coefficient double, intercept double")
+
+
+@register(
+    "mod2_single_tree_separable",
+    O.oracle("SELECT dep_delay > 15 AS late, COUNT(*) AS n, CAST(COUNT(*) AS BIGINT) AS n_right FROM flights GROUP BY 1"),
+)
+def q_mod2_tree(spark, sf):
+    """A single tree on a label that one split decides: every row is right."""
+    rows = flights(spark, sf).select("dep_delay", (F.col("dep_delay") > 15).alias("late"))
+    rows = rows.withColumn("y", F.col("late").cast("double"))
+    data = VectorAssembler(inputCols=["dep_delay"], outputCol="features").transform(rows)
+    model = RandomForestClassifier(labelCol="y", numTrees=1, maxDepth=2, maxBins=64, seed=1,
+                                   bootstrap=False, featureSubsetStrategy="all").fit(data)
+    return model.transform(data).groupBy("late").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("y")).alias("n_right"))
+
+
+@register(
+    "mod4_single_tree_separable",
+    O.oracle("""SELECT dep_delay > 15 AS late, COUNT(*) AS n,
+                       CAST(CASE WHEN dep_delay > 15 THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM flights GROUP BY 1, 3"""),
+)
+def q_mod4_tree(spark, sf):
+    """A single regression tree on a step of the departure delay: the step itself."""
+    rows = flights(spark, sf).select("dep_delay", (F.col("dep_delay") > 15).alias("late"))
+    rows = rows.withColumn("y", F.col("late").cast("double"))
+    data = VectorAssembler(inputCols=["dep_delay"], outputCol="features").transform(rows)
+    model = RandomForestRegressor(labelCol="y", numTrees=1, maxDepth=2, maxBins=64, seed=1,
+                                  bootstrap=False, featureSubsetStrategy="all").fit(data)
+    return model.transform(data).groupBy("late", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "mod5_monthly_table_counts",
+    O.oracle("""SELECT month, airline, COUNT(*) AS total_flights, CAST(count_if(arr_delay > 15) AS BIGINT) AS total_delays,
+                       AVG(arr_delay) AS avg_arr_delay FROM flights GROUP BY month, airline"""),
+)
+def q_mod5_table(spark, sf):
+    """The monthly table that the monthly regression is fitted on."""
+    return ML.monthly_table(flights(spark, sf))
+
+
+@register(
+    "mod6_scored_rows",
+    O.oracle(f"""SELECT {', '.join(FLIGHT_KEY)}, delayed, COUNT(*) AS n, TRUE AS consistent
+                 FROM tagged WHERE split = 'test' GROUP BY ALL""", TAGGED_SQL),
+)
+def q_mod6_rows(spark, sf):
+    """The scored test rows; a prediction is consistent with its probability."""
+    agrees = (F.col("p_delayed") > 0.5) == (F.col("prediction") == 1)
+    pred = fitted(spark, sf, LR).predictions
+    return pred.groupBy(*FLIGHT_KEY, "delayed").agg(F.count(F.lit(1)).alias("n"), F.every(agrees).alias("consistent"))
+
+
+@register(
+    "met4_confusion_totals_lr",
+    O.oracle("SELECT CAST(delayed AS INTEGER) AS y, COUNT(*) AS n FROM tagged WHERE split = 'test' GROUP BY 1", TAGGED_SQL),
+)
+def q_met4_totals(spark, sf):
+    """Row totals of the confusion matrix: the labels' counts in the test split."""
+    matrix = EV.confusion_matrix(fitted(spark, sf, LR).scored, "delayed", "prediction")
+    return matrix.groupBy("y").agg(F.sum("count").alias("n"))
+
+
+@register(
+    "met1_auc_counts",
+    O.oracle("""SELECT CAST(count_if(delayed = 1) AS BIGINT) AS n_pos, CAST(count_if(delayed = 0) AS BIGINT) AS n_neg,
+                       TRUE AS better_than_chance, TRUE AS evaluator_agrees FROM tagged WHERE split = 'test'""", TAGGED_SQL),
+)
+def q_met1_counts(spark, sf):
+    """Class sizes behind the ROC-AUC, and whether the binned and the exact value agree."""
+    m = ML.metrics(fitted(spark, sf, LR))
+    row = (m["n_pos"], m["n_neg"], m["exact_auc"] > 0.5, abs(m["exact_auc"] - m["roc_auc"]) < 1e-2)
+    return spark.createDataFrame([row], "n_pos long, n_neg long, better_than_chance boolean, evaluator_agrees boolean")
+
+
+@register(
+    "met7_coefficient_names",
+    O.oracle("\nUNION ALL\n".join(
+        f"SELECT '{c}_oh_' || {c} AS feature FROM flights GROUP BY {c} UNION ALL SELECT '{c}_oh___unknown'"
+        for c in ML.CATEGORICAL) + "".join(f"\nUNION ALL SELECT '{c}'" for c in ML.NUMERIC)),
+)
+def q_met7_names(spark, sf):
+    """Slots that the coefficients are keyed by."""
+    return ML.coefficients(fitted(spark, sf, LR)).select("feature")
+
+
+@register(
+    "met6_importance_names",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{c}_idx')" for c in ML.CATEGORICAL) + ", "
+    + ", ".join(f"('{c}')" for c in ML.NUMERIC) + ", ('total is 1')) AS v(feature)",
+)
+def q_met6_names(spark, sf):
+    """Inputs that the importances are keyed by, and their total."""
+    found = ML.feature_importances(fitted(spark, sf, RF))
+    total = found.agg(F.round(F.sum("importance"), 6).alias("t")).where("t = 1").select(F.lit("total is 1").alias("feature"))
+    return found.select("feature").unionByName(total)
+
+
+@register(
+    "met2_count_rfreg",
+    O.oracle("SELECT COUNT(*) AS n, TRUE AS explains_variance FROM tagged WHERE split = 'test'", TAGGED_SQL),
+)
+def q_met2_count(spark, sf):
+    """Rows behind the forest regressor's metrics, and whether it beats the mean."""
+    m = EV.regression_metrics(fitted(spark, sf, RFREG).scored, "arr_delay", "prediction")
+    return m.select("n", (F.col("r2") > 0).alias("explains_variance"))
+
+
+@register(
+    "met8_roc_ends_lr",
+    "SELECT 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr, TRUE AS monotone UNION ALL SELECT 1.0, 1.0, TRUE",
+)
+def q_met8_ends(spark, sf):
+    """First and last point of the model's ROC curve, and that it never falls."""
+    curve = EV.roc_curve(fitted(spark, sf, LR).scored, "delayed", "p_delayed")
+    monotone = curve.agg((F.max("tpr") == F.max_by("tpr", F.struct("fpr", "tpr"))).alias("m")).scalar()
+    ends = curve.where("threshold IS NULL OR (fpr = 1 AND tpr = 1)").select("fpr", "tpr").distinct()
+    return ends.withColumn("monotone", monotone)
+
+
+@register(
+    "snk5_predictions_sample_rows",
+    O.oracle(f"""SELECT {', '.join(FLIGHT_KEY)}, delayed FROM tagged WHERE split = 'test'
+                 ORDER BY md5({FLIGHT_KEY_SQL}), {', '.join(c + ' NULLS FIRST' for c in FLIGHT_KEY)}
+                 LIMIT {PREDICTION_SAMPLE_ROWS}""", TAGGED_SQL),
+)
+def q_snk5_rows(spark, sf):
+    """Keys and labels of the sampled predictions, as read back from the CSV."""
+    kinds = {f.name: f.dataType.simpleString() for f in flights(spark, sf).schema.fields}
+    path = work_dir(spark, "predictions_sample")
+    W.write_predictions_sample(fitted(spark, sf, LR).predictions, path, PREDICTION_SAMPLE_ROWS,
+                               list(FLIGHT_KEY), "delayed")
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in FLIGHT_KEY), "delayed int, prediction double, probability string"])
+    return FS.read_result_csv(spark, path, schema).select(*FLIGHT_KEY, "delayed")
+
+
+@register("snk7_metrics_log_counts", O.oracle(_counts_sql(LR) + "\nUNION ALL\n" + _counts_sql(LINREG), TAGGED_SQL))
+def q_snk7_counts(spark, sf):
+    """Each run appends its row to the log table."""
+    path = work_dir(spark, "counts_log")
+    for spec in (LR, LINREG):
+        W.append_metrics(ML.run_counts(fitted(spark, sf, spec)), path)
+    return spark.read.parquet(path)
+
+
 @register("mod1_logistic_regression")
 def q_mod1(spark, sf):
     return ML.run_report(fitted(spark, sf, LR))
@@ -157,7 +362,11 @@ def save_and_load(spark: SparkSession, result: ML.FitResult) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-@register("mod7_model_load")
+@register(
+    "mod7_model_load",
+    O.oracle("""SELECT COUNT(*) AS n_scored, CAST(0 AS BIGINT) AS n_prediction_mismatch,
+                       CAST(0 AS DOUBLE) AS max_probability_diff FROM tagged WHERE split = 'test'""", TAGGED_SQL),
+)
 def q_mod7(spark, sf):
     """Saved-then-loaded pipeline scores the test split exactly like the fitted one."""
     result = fitted(spark, sf, LR)
@@ -172,38 +381,40 @@ def q_mod7(spark, sf):
     )
 
 
-@register("snk6_model_save")
+@register(
+    "snk6_model_save",
+    """SELECT * FROM (VALUES (0, 'StringIndexerModel'), (1, 'OneHotEncoderModel'), (2, 'VectorAssembler'),
+                             (3, 'LogisticRegressionModel')) AS v(stage, kind)""",
+)
 def q_snk6(spark, sf):
     """Stages of the saved pipeline, read back from its folder."""
     loaded = save_and_load(spark, fitted(spark, sf, LR))
-    rows = [(i, type(s).__name__, s.uid) for i, s in enumerate(loaded.stages)]
-    return spark.createDataFrame(rows, "stage int, kind string, uid string")
+    rows = [(i, type(s).__name__) for i, s in enumerate(loaded.stages)]
+    return spark.createDataFrame(rows, "stage int, kind string")
 
 
 # -------------------------------------------------------------- evaluation
 @register("met1_roc_auc")
 def q_met1(spark, sf):
     """Spark's binned evaluator next to the exact rank-formula AUC (test split)."""
-    result = fitted(spark, sf, LR)
-    m = ML.metrics(result)
-    exact = EV.exact_auc(result.predictions, "delayed", "p_delayed")
-    return exact.select("n_pos", "n_neg", F.lit(m["roc_auc"]).alias("evaluator_auc"),
-                        F.col("auc").alias("exact_auc"))
+    m = ML.metrics(fitted(spark, sf, LR))
+    row = (m["n_pos"], m["n_neg"], m["roc_auc"], m["exact_auc"])
+    return spark.createDataFrame([row], "n_pos long, n_neg long, evaluator_auc double, exact_auc double")
 
 
 @register("met4_confusion_matrix_lr")
 def q_met4_lr(spark, sf):
-    return EV.confusion_matrix(fitted(spark, sf, LR).predictions, "delayed", "prediction")
+    return EV.confusion_matrix(fitted(spark, sf, LR).scored, "delayed", "prediction")
 
 
 @register("met4_confusion_summary_lr")
 def q_met4_sum(spark, sf):
-    return EV.confusion_summary(fitted(spark, sf, LR).predictions, "delayed", "prediction")
+    return EV.confusion_summary(fitted(spark, sf, LR).scored, "delayed", "prediction")
 
 
 @register("met2_rmse_r2_rfreg")
 def q_met2_rfreg(spark, sf):
-    return EV.regression_metrics(fitted(spark, sf, RFREG).predictions, "arr_delay", "prediction")
+    return EV.regression_metrics(fitted(spark, sf, RFREG).scored, "arr_delay", "prediction")
 
 
 @register("met6_feature_importances")
@@ -228,7 +439,7 @@ def q_met7_reg(spark, sf):
 
 @register("met8_roc_curve_lr")
 def q_met8_lr(spark, sf):
-    return EV.roc_curve(fitted(spark, sf, LR).predictions, "delayed", "p_delayed")
+    return EV.roc_curve(fitted(spark, sf, LR).scored, "delayed", "p_delayed")
 
 
 @register("met9_run_report")
@@ -239,7 +450,7 @@ def q_met9(spark, sf):
 
 @register("snk5_predictions_sample")
 def q_snk5(spark, sf):
-    """First 10,000 test predictions in key order, written as CSV and read back."""
+    """10,000 test predictions with the smallest key hashes, written as CSV and read back."""
     path = work_dir(spark, "predictions_sample")
     W.write_predictions_sample(fitted(spark, sf, LR).predictions, path, PREDICTION_SAMPLE_ROWS,
                                list(FLIGHT_KEY), "delayed")

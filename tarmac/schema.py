@@ -82,3 +82,6 @@ def require_columns(df: DataFrame, columns: Iterable[str], op: str = "operator")
 def has_columns(df: DataFrame, columns: Iterable[str]) -> bool:
     present = {c.lower() for c in df.columns}
     return all(c.lower() in present for c in columns)
+
+# Columns of a scored flight that pass through the model (fixed: consumers read them by name).
+SCORED_COLUMNS = ("flight_date", "airline", "origin", "dest", "dep_delay", "distance", "arr_delay")

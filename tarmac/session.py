@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import OrderedDict
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +78,49 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder (path string) below the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/tarmac/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the engine wrote."""
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none when it does not exist."""
+    target, fs = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def input_state(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of everything directly below a folder: changes when the data do."""
+    target, fs = _path(spark, folder)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(target)))
+
+
+class Fixtures:
+    """Results that several queries of a session share, remade when their input changes.
+
+    A result is looked up by session, input folder, the state of the files there and a
+    name; the oldest ones beyond ``keep`` are handed to their clean-up.
+    """
+
+    def __init__(self, keep: int):
+        self.keep, self.made = keep, OrderedDict()
+
+    def get(self, spark: SparkSession, folder: str, name, make, clean_up):
+        key = (spark.sparkContext.applicationId, folder, input_state(spark, folder), name)
+        if key not in self.made:
+            self.made[key] = (make(), clean_up)
+        self.made.move_to_end(key)
+        result = self.made[key][0]
+        while len(self.made) > self.keep:
+            (app, *_), (old, clean) = self.made.popitem(last=False)
+            if app == spark.sparkContext.applicationId:
+                clean(spark, old)
+        return result

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import STREAM_COLUMNS
+from tarmac.session import remove_folder
+from tarmac.sources.files import snapshot_ids
 
 
 def write_curated(
@@ -15,6 +17,7 @@ def write_curated(
     path: str,
     partition_by=("year", "month"),
     max_records_per_file: int = 5_000_000,
+    only_written: bool = False,
 ) -> None:
     """Overwrite the curated table, partitioned by year / month.
 
@@ -22,12 +25,13 @@ def write_curated(
     month's rows, so a task writes few folders; adaptive execution splits a month
     that is larger than the advisory partition size (say, one holding a third of
     all rows) into several tasks and merges small months, so files stay near that
-    size.  Dynamic overwrite replaces only the folders that receive rows.
+    size.  The whole table is replaced, so months that left the source are gone;
+    ``only_written`` replaces just the folders that receive rows (incremental loads).
     """
     cols = [c for c in partition_by if c in df.columns]
     balanced = df.hint("rebalance", *cols) if cols else df
     writer = (balanced.write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
+              .option("partitionOverwriteMode", "dynamic" if only_written else "static")
               .option("maxRecordsPerFile", max_records_per_file))
     if cols:
         writer = writer.partitionBy(*cols)
@@ -62,8 +66,15 @@ def write_batch_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
 
+def drop_old_snapshots(spark: SparkSession, path: str, newest: int, keep: int) -> None:
+    """Remove the ``batch=N`` folders older than the ``keep`` newest ones."""
+    for batch_id in snapshot_ids(spark, path):
+        if batch_id <= newest - keep:
+            remove_folder(spark, f"{path.rstrip('/')}/batch={batch_id}")
+
+
 def write_predictions_sample(pred: DataFrame, path: str, limit: int, key_cols, label: str) -> None:
-    """``limit`` predictions chosen by key hash (repeatable), written as one CSV.
+    """The ``limit`` predictions with the smallest key hashes (repeatable), written as one CSV.
 
     Columns: the key columns, label, prediction and, for classifiers, the
     probability vector as ';'-joined text.

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tarmac.operators.ingest import arrived, clean
 from tarmac.schema import REQUIRED_FOR_TRAINING
+from tarmac.session import list_folder
 
 
 class NoInputError(FileNotFoundError):
@@ -30,7 +31,8 @@ def read_raw_csv(
     """Headered CSV files as text columns (or with an explicit schema).
 
     ``path`` may be a folder, a glob or a list of them.  Leading / trailing
-    blanks are kept (cleaning trims the codes that need it).
+    blanks are kept (cleaning trims the codes that need it).  All files must have the
+    same header; a file with another one fails the read.
     """
     reader = (
         spark.read.option("header", True)
@@ -51,7 +53,10 @@ def read_raw_csv(
         raise NoInputError(f"no CSV input at {path}: {e}") from e
     if not df.columns:
         raise NoInputError(f"no CSV input at {path}")
-    return df
+    # bound by position, but every file's header is checked against the columns: a file
+    # whose header differs in names or order fails instead of being read into wrong columns
+    text = schema or T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+    return reader.schema(text).option("enforceSchema", False).csv(path)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
@@ -88,9 +93,14 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType | str |
     return reader.csv(path)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str, ignore_corrupt: bool = False) -> DataFrame:
     """All ``batch=N`` prediction folders as one table with a ``batch`` column.
 
-    Unreadable (e.g. half-written) files are skipped rather than failing the read.
+    A damaged file fails the read unless ``ignore_corrupt`` asks to leave its rows out.
     """
-    return spark.read.option("ignoreCorruptFiles", True).parquet(path)
+    return spark.read.option("ignoreCorruptFiles", ignore_corrupt).parquet(path)
+
+
+def snapshot_ids(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``batch=N`` folders below ``path``, ascending (a folder listing, no data)."""
+    return sorted(int(n.split("=")[1]) for n in list_folder(spark, path) if n.startswith("batch=") and n[6:].isdigit())

@@ -17,10 +17,9 @@ Everything is a Spark plan over the given tables, so the work grows with them.
 Join plan: lineitem is the fact table and is joined on three different keys
 (orderkey, partkey, suppkey), so each join is a shuffle of the fact stream at
 scale; every input is pruned to the few columns it contributes before joining.
-A dimension is broadcast only when a bounded row count proves it small
-(``tarmac.operators.joins``); beyond the bound the join is a sort-merge join
-whose hot keys AQE's skew-join handling splits.  The fact table is never the
-broadcast side, whatever its size.
+Which side is broadcast, if any, is left to byte statistics and AQE: no hints, so
+``spark.sql.autoBroadcastJoinThreshold`` holds, and larger joins are sort-merge joins
+whose hot keys AQE's skew-join handling splits.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import hhmm_to_hour, weekday_label
-from tarmac.operators.joins import broadcast_if, table_is_small
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -43,13 +41,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to the names it needs: one row per lineitem row.
 
-    Each dimension is broadcast only if its row count is proven under the bound
-    (``operators.joins``); otherwise that join is a shuffle join on its key.  The
-    fact table is never the broadcast side.
+    The dimensions' sizes in bytes decide which joins are broadcast joins.
     """
-    def small(name: str) -> bool:
-        return table_is_small(spark, table_path(sf_dir, name))
-
     lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_shipdate",
@@ -58,7 +51,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("airline"))
-    nation = broadcast_if(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), small("nation"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     origin_of_supplier = supplier.join(
         nation.withColumnRenamed("n_name", "origin"),
@@ -69,14 +62,14 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey") == F.col("n_nationkey"),
     ).select("c_custkey", "dest")
     dest_of_order = orders.join(
-        broadcast_if(dest_of_customer, small("customer")), F.col("o_custkey") == F.col("c_custkey")
+        dest_of_customer, F.col("o_custkey") == F.col("c_custkey")
     ).select("o_orderkey", "dest")
 
     return (
         lineitem
-        .join(broadcast_if(dest_of_order, small("orders")), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(broadcast_if(part, small("part")), F.col("l_partkey") == F.col("p_partkey"))
-        .join(broadcast_if(origin_of_supplier, small("supplier")), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(dest_of_order, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(origin_of_supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
             F.to_date("l_shipdate").alias("flight_date"), "airline", "origin", "dest",

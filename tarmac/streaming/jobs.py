@@ -10,40 +10,52 @@
                            ``batch=<id>`` (overwrite: a replayed micro-batch
                            rewrites its own folder, so the sink is idempotent).
 * ``run_scoring``          stateless per-micro-batch model scoring, empty batches
-                           skipped, predictions appended as ``batch=<id>``.
-* ``latest_snapshot``      newest ``batch=N`` of a snapshot folder (scalar
-                           subquery on the partition column: one folder is read).
+                           skipped, predictions appended as ``batch=<id>``; rows
+                           that cannot be scored stay with NULL outputs.
+* ``latest_snapshot``      newest ``batch=N`` of a snapshot folder, found by listing;
+                           one folder is read.
 
 Triggers: ``availableNow`` drains what is there in rate-limited micro-batches
-and stops (tests, backfills); a processing-time interval runs continuously.
+and stops (tests, backfills), without any time limit; a processing-time interval runs
+continuously.  The rate is the caller's: files or bytes per trigger.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.functions.columns import parse_date_multi
+from tarmac.functions.columns import parse_date_multi, to_double
 from tarmac.operators.ingest import coalesce_spellings, drop_null_required, fill_missing_derived
 from tarmac.schema import REQUIRED_FOR_STREAM, STREAM_SCHEMA
-from tarmac.sinks.writers import write_batch_snapshot
-from tarmac.sources.files import read_predictions
+from tarmac.sinks.writers import drop_old_snapshots, write_batch_snapshot
+from tarmac.sources.files import NoInputError, snapshot_ids
 
 
 def read_replay_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType = STREAM_SCHEMA,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = 1,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """CSV files below ``path`` (any depth), bound by position to ``schema``."""
+    """CSV files below ``path`` (any depth), bound by position to ``schema``.
+
+    The rate is either a number of files or, with ``max_bytes_per_trigger``, a size.
+    """
+    rate = ({"maxBytesPerTrigger": max_bytes_per_trigger} if max_bytes_per_trigger
+            else {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {})
     return (
         spark.readStream.schema(schema)
         .option("header", True)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .options(**rate)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(path)
@@ -76,7 +88,7 @@ def normalise_stream(stream: DataFrame) -> DataFrame:
     trims = {c: F.trim(F.col(c)) for c in ("airline", "origin", "dest") if c in out.columns}
     out = out.withColumns(trims)
     if "arr_delay" in out.columns:
-        out = out.withColumn("arr_delay", F.col("arr_delay").cast("double"))
+        out = out.withColumn("arr_delay", to_double("arr_delay"))
     return drop_null_required(out, REQUIRED_FOR_STREAM)
 
 
@@ -91,51 +103,53 @@ def _trigger(writer, available_now: bool, processing_time: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
 
 
-def _finish(query: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
-    if timeout_s is None:
-        return query
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
-    if query.exception() is not None:
-        raise RuntimeError(f"streaming query failed: {query.exception()}")
+def _finish(query: StreamingQuery, available_now: bool) -> StreamingQuery:
+    """A drain ends when everything that was there is processed, however long that takes."""
+    if available_now:
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {query.exception()}")
     return query
 
 
+def state_session(spark: SparkSession, state_partitions: int = 4) -> SparkSession:
+    """A session of its own for a stream, with that many state partitions.
+
+    The count is fixed in a stream's checkpoint at its first start.  Keys that are few
+    (one per airline) are partially aggregated before the shuffle, so a handful of state
+    partitions serves any input volume; each one costs a commit per micro-batch.  The
+    caller's session is left as it is.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
+
+
 def run_snapshots(
     agg: DataFrame,
     out_dir: str,
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str = "10 seconds",
-    timeout_s: float | None = 600,
-    state_partitions: int = 4,
+    keep: int | None = None,
 ) -> StreamingQuery:
     """Complete-mode aggregate -> one Parquet snapshot folder per micro-batch.
 
-    ``state_partitions`` sets the state store's partition count (fixed in the
-    checkpoint at the first start).  The keys are few (one per airline) and each
-    micro-batch is partially aggregated before the shuffle, so a handful of state
-    partitions serves any input volume, and every extra one costs a state-store
-    commit per micro-batch.
+    ``keep`` retains only that many newest snapshots.  Build the stream on a
+    ``state_session`` to choose its state partitions.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # the complete result is one row per group (bounded): one file per snapshot
         write_batch_snapshot(batch.coalesce(1), out_dir, batch_id)
+        if keep:
+            drop_old_snapshots(batch.sparkSession, out_dir, batch_id, keep)
 
     writer = (agg.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint_dir)
               .foreachBatch(write))
-    spark = agg.sparkSession
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        query = _trigger(writer, available_now, processing_time).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    return _finish(query, timeout_s)
+    return _finish(_trigger(writer, available_now, processing_time).start(), available_now)
 
 
 def run_append(
@@ -144,34 +158,50 @@ def run_append(
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str = "10 seconds",
-    timeout_s: float | None = 600,
 ) -> StreamingQuery:
     """Append a (stateless) stream to a Parquet folder with the exactly-once file sink."""
     writer = (stream.writeStream.outputMode("append").format("parquet")
               .option("checkpointLocation", checkpoint_dir).option("path", out_dir))
-    return _finish(_trigger(writer, available_now, processing_time).start(), timeout_s)
+    return _finish(_trigger(writer, available_now, processing_time).start(), available_now)
+
 
+def raw_inputs(model: PipelineModel) -> list[str]:
+    """Columns that the model's assemblers take as they come, not from an earlier stage."""
+    made, taken = set(), []
+    for stage in model.stages:
+        if isinstance(stage, VectorAssembler):
+            taken += [c for c in stage.getInputCols() if c not in made]
+        for name in ("outputCol", "outputCols"):
+            if stage.hasParam(name) and stage.isDefined(name):
+                value = stage.getOrDefault(name)
+                made.update([value] if isinstance(value, str) else value)
+    return list(dict.fromkeys(taken))
 
-PREDICTION_COLUMNS = ("flight_date", "airline", "origin", "dest", "dep_delay", "distance", "arr_delay")
 
+# --- fixed values: what consumers of the scored flights read ---
+FLIGHT_SCORES = {"pred_delayed": "prediction", "pred_prob_vec": "probability", "p_delayed": ("probability", 1)}
 
-def score_batch(model: PipelineModel, out_dir: str):
-    """foreachBatch callback: score one micro-batch and write ``batch=<id>``."""
-    from pyspark.ml.functions import vector_to_array
 
-    def score(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        pred = model.transform(batch)
-        out = pred.select(
-            *PREDICTION_COLUMNS,
-            F.col("prediction").alias("pred_delayed"),
-            F.col("probability").alias("pred_prob_vec"),
-            vector_to_array("probability")[1].alias("p_delayed"),
-        )
-        write_batch_snapshot(out, out_dir, batch_id)
+def _output(source: str | tuple[str, int]) -> Column:
+    """A model column, or one slot of a vector column."""
+    return F.col(source) if isinstance(source, str) else vector_to_array(source[0])[source[1]]
 
-    return score
+
+def score_rows(model: PipelineModel, rows: DataFrame, outputs: Mapping[str, str | tuple[str, int]],
+               keep: Sequence[str] | None = None) -> DataFrame:
+    """Rows with a model's outputs; ``keep`` names the columns that pass through (default: all).
+
+    A row that lacks a numeric input cannot be scored: it stays, with NULL outputs.  One
+    bad value therefore never fails a micro-batch (and with it every retry).
+    """
+    passed = [F.col(f"`{c}`") for c in (keep if keep is not None else rows.columns)]
+    complete = F.lit(True)
+    for c in raw_inputs(model):
+        complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    scored = model.transform(rows.where(complete)).select(*passed, *[_output(e).alias(n) for n, e in outputs.items()])
+    kinds = {n: scored.schema[n].dataType for n in outputs}
+    rest = rows.where(~complete).select(*passed, *[F.lit(None).cast(k).alias(n) for n, k in kinds.items()])
+    return scored.unionByName(rest)
 
 
 def run_scoring(
@@ -181,19 +211,30 @@ def run_scoring(
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str = "10 seconds",
-    timeout_s: float | None = 600,
+    outputs: Mapping[str, str | tuple[str, int]] = FLIGHT_SCORES,
+    keep: Sequence[str] | None = None,
 ) -> StreamingQuery:
+    """Score every micro-batch into ``batch=<id>``; empty ones are skipped."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_batch_snapshot(score_rows(model, batch, outputs, keep), out_dir, batch_id)
+
     writer = (stream.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint_dir)
-              .foreachBatch(score_batch(model, out_dir)))
-    return _finish(_trigger(writer, available_now, processing_time).start(), timeout_s)
+              .foreachBatch(write))
+    return _finish(_trigger(writer, available_now, processing_time).start(), available_now)
 
 
 def latest_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Rows of the newest ``batch=N`` folder (the current complete result)."""
-    snaps = read_predictions(spark, out_dir)
-    newest = snaps.select(F.max("batch")).scalar()
-    return snaps.where(F.col("batch") == newest)
+    """Rows of the newest ``batch=N`` folder (the current complete result).
+
+    The newest number comes from the folder listing; only its folder is read.
+    """
+    ids = snapshot_ids(spark, out_dir)
+    if not ids:
+        raise NoInputError(f"no snapshot at {out_dir}")
+    return spark.read.parquet(f"{out_dir.rstrip('/')}/batch={ids[-1]}").withColumn("batch", F.lit(ids[-1]))
 
 
 def live_delay_by_airline(predictions: DataFrame) -> DataFrame:

@@ -30,12 +30,11 @@ def test_stream_restart_from_checkpoint_does_not_double_count(spark):
     out, ckpt = work_dir(spark, "t_snap"), work_dir(spark, "t_ckpt")
 
     def agg():
-        s = J.normalise_stream(J.read_replay_stream(spark, src, AGG_STREAM_SCHEMA, 1))
+        s = J.normalise_stream(J.read_replay_stream(J.state_session(spark), src, AGG_STREAM_SCHEMA, 1))
         return J.running_avg_by_airline(s.select("airline", "arr_delay"))
 
     # first run: processing-time trigger, stopped after it has committed some micro-batches
-    q = J.run_snapshots(agg(), out, ckpt, available_now=False, processing_time="200 milliseconds",
-                        timeout_s=None)
+    q = J.run_snapshots(agg(), out, ckpt, available_now=False, processing_time="200 milliseconds")
     deadline = time.time() + 120
     while (q.lastProgress is None or q.lastProgress["batchId"] < 2) and time.time() < deadline:
         time.sleep(0.2)
@@ -55,7 +54,7 @@ def test_curated_write_replaces_only_written_months(spark):
     W.write_curated(fl, path)
     total = fl.count()
     one_month = fl.where((F.col("year") == 1998) & (F.col("month") == 3))
-    W.write_curated(one_month.limit(5), path)  # overwrite March 1998 only
+    W.write_curated(one_month.limit(5), path, only_written=True)  # overwrite March 1998 only
     back = FS.read_curated(spark, path)
     assert back.count() == total - one_month.count() + min(5, one_month.count())
     assert back.where((F.col("year") == 1998) & (F.col("month") == 3)).count() == min(5, one_month.count())

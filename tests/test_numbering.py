@@ -55,7 +55,7 @@ def test_prefix_sums_match_cumsum(spark):
     rows = [(float(x), rnd.randint(0, 9), rnd.randint(0, 9)) for x in rnd.sample(range(100000), 2000)]
     df = spark.createDataFrame(rows, "key double, a long, b long")
     got = {r["key"]: (r["cum_a"], r["cum_b"], r["total_a"]) for r in
-           prefix_sums(df, "key", ["a", "b"], buckets=13).collect()}
+           prefix_sums(df, "key", ["a", "b"], partitions=13).collect()}
     rows.sort()
     ca = np.cumsum([r[1] for r in rows])
     cb = np.cumsum([r[2] for r in rows])
@@ -63,7 +63,7 @@ def test_prefix_sums_match_cumsum(spark):
         assert got[k][:2] == (x, y)
         assert got[k][2] == ca[-1]
     desc = {r["key"]: r["cum_a"] for r in prefix_sums(df, "key", ["a"], descending=True,
-                                                       inclusive=False, buckets=5).collect()}
+                                                       inclusive=False, partitions=5).collect()}
     rows.sort(reverse=True)
     before = np.concatenate([[0], np.cumsum([r[1] for r in rows])[:-1]])
     assert all(desc[k] == b for (k, _, _), b in zip(rows, before))
