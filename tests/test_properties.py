@@ -19,7 +19,7 @@ from conftest import SF_SMALL
 def test_dataframe_twin_equals_sql_twin(spark):
     fl = flights(spark, SF_SMALL)
     df_side = SU.delay_summary(fl, "airline", ["dep_delay", "arr_delay"])
-    sql_side = S.run_sql(fl, S.by_airline_sql())
+    sql_side = S.run_sql(fl, S.by_airline())
     a = sorted((r.airline, r.n, r.avg_arr_delay, r.avg_dep_delay) for r in df_side.collect())
     b = sorted((r.airline, r.num_flights, r.avg_arr_delay, r.avg_dep_delay) for r in sql_side.collect())
     assert a == b
