@@ -10,7 +10,8 @@ one by one, so they become a bounded number of items:
 
 The driver sees only the items' totals.  Items are placed largest first, each into the
 shard where the dot product of the item's vector with the shard's residual capacity is
-highest.  The item -> shard table is broadcast (bounded by the parameters).
+highest, among the shards that still have room for its bytes (bytes are the law that ends
+near equal).  The item -> shard table is broadcast (bounded by the parameters).
 
 Slots are numbered 0, 1, ... in every shard without ordering a shard in one task: rows are
 numbered in small hash subdivisions of an item, and these get the counts before them.
@@ -37,17 +38,23 @@ ROW_BYTES = 8
 MEASURES = ("size", "tokens", "one")
 
 
-def pack_vectors(weights: np.ndarray, bins: int) -> np.ndarray:
+def pack_vectors(weights: np.ndarray, bins: int, law: int = 0) -> np.ndarray:
     """The bin of each item: largest item first, to the highest dot product with what is left.
 
     ``weights`` (items x measures) are scaled so that a bin's capacity is 1 in each measure.
+    Only bins whose residual in the measure ``law`` still takes the item are candidates, so
+    that measure ends near equal; when none takes it, the bin with the most left does.
     """
     totals = weights.sum(axis=0)
     scaled = weights / np.where(totals > 0, totals / bins, 1.0)
     left = np.ones((bins, weights.shape[1]))
     chosen = np.zeros(len(weights), np.int64)
     for item in np.argsort(-scaled.max(axis=1), kind="stable").tolist():
-        best = int(np.argmax(left @ scaled[item]))
+        fits = left[:, law] >= scaled[item, law]
+        if fits.any():
+            best = int(np.argmax(np.where(fits, left @ scaled[item], -np.inf)))
+        else:
+            best = int(np.argmax(left[:, law]))
         chosen[item] = best
         left[best] -= scaled[item]
     return chosen
