@@ -36,6 +36,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z][A-Za-z_-]{9,}"
 SAMPLE = 20_000
 SMOOTHING = 0.5
+# How many sightings of a character its own counts must have to weigh as much as the overall ones.
+BACKOFF = 5.0
 # Log-likelihood ratio (nats) a token must reach: one secret among a hundred thousand tokens.
 THRESHOLD = math.log(1e5)
 
@@ -94,10 +96,13 @@ def captured(text: Column) -> Column:
 def labelled_samples(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(value, random): at most ``sample`` distinct strings of each label."""
     text = text_or_empty(text_col)
+    rest = text  # identifiers are looked for outside the secrets
+    for pattern in (ASSIGN, ACCESS, HEX):
+        rest = F.when(text.rlike(pattern), F.regexp_replace(rest, pattern, " ")).otherwise(rest)
     parts = []
     for strings, label in (
         (captured(text), 1),
-        (F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0)), 0),
+        (F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), 0),
     ):
         values = df.select(F.explode(strings).alias("value")).distinct()
         parts.append(values.orderBy(F.xxhash64("value"), "value").limit(sample).withColumn("random", F.lit(label)))
@@ -107,6 +112,8 @@ def labelled_samples(df: DataFrame, text_col: str = "text", sample: int = SAMPLE
 def fit(samples: DataFrame) -> list[float] | None:
     """log P(next | char) under the random model minus under the ordinary one, row by row.
 
+    Each model backs off to its characters' overall frequencies, so that a character that
+    ordinary identifiers hardly ever use counts as evidence whatever precedes it.
     None when one of the labels has no sample.
     """
     chars = F.split("value", "")
@@ -118,12 +125,17 @@ def fit(samples: DataFrame) -> list[float] | None:
     counts = {(r["random"], r["pair"]): r["n"] for r in counted.collect()}  # bounded by the alphabet
     if {label for label, _ in counts} != {0, 1}:
         return None
-    table = []
-    for a in ALPHABET:
-        rows = [[counts.get((label, a + b), 0) + SMOOTHING for b in ALPHABET] for label in (1, 0)]
-        totals = [sum(r) for r in rows]
-        table += [math.log(r / totals[0]) - math.log(o / totals[1]) for r, o in zip(*rows)]
-    return table
+    logs = []
+    for label in (1, 0):
+        seen = [sum(counts.get((label, a + b), 0) for a in ALPHABET) for b in ALPHABET]
+        total = sum(seen) + SMOOTHING * len(ALPHABET)
+        alone = [(n + SMOOTHING) / total for n in seen]
+        rows = []
+        for a in ALPHABET:
+            after = [counts.get((label, a + b), 0) for b in ALPHABET]
+            rows += [math.log((n + BACKOFF * p) / (sum(after) + BACKOFF)) for n, p in zip(after, alone)]
+        logs.append(rows)
+    return [r - o for r, o in zip(*logs)]
 
 
 def log_ratio(token: Column, model: list[float]) -> Column:
