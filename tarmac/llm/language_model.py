@@ -41,6 +41,9 @@ HIDDEN = 24
 LANES = 96
 WINDOW = 16
 EPOCHS = 2
+# Small samples are read more often, up to MAX_EPOCHS times, for at least so many updates.
+MIN_UPDATES = 400
+MAX_EPOCHS = 20
 END = b""  # the end token: no word is empty
 COUNTER_ENTRIES = 300_000
 
@@ -171,8 +174,9 @@ class GatedModel:
         before = np.concatenate([[end], stream[:-1]])
         first = np.zeros(len(stream), bool)
         first[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
-        lanes = max(1, min(lanes, len(stream) // window or 1))
+        lanes = max(1, min(lanes, len(stream) // (20 * window)))
         length = len(stream) // lanes
+        epochs = min(MAX_EPOCHS, max(epochs, -(-MIN_UPDATES * window // max(1, length))))
         cut = lambda v: v[: lanes * length].reshape(lanes, length)
         inputs, targets, starts = cut(before), cut(stream), cut(first)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
