@@ -78,7 +78,7 @@ def model_type(path: str) -> int:
     """The type that a model file records (field 3 of its trainer settings, field 2)."""
     with open(path, "rb") as f:
         settings = b"".join(v for n, v in _fields(f.read()) if n == 2)
-    return next((v for n, v in _fields(settings) if n == 3), UNIGRAM)
+    return [UNIGRAM, *(v for n, v in _fields(settings) if n == 3)][-1]  # the last value of a field counts
 
 
 class Pieces:
@@ -429,9 +429,10 @@ def pieces_of(path: str) -> Pieces:
 PARTS = "_n long, _key binary, chunk long, low long, high long, is_end boolean"
 
 
-def _giant_chunks(giant: DataFrame, path: str, size: int, answer: str) -> DataFrame:
+def _giant_chunks(giant: DataFrame, path: str, size: int, answer: str, carried: tuple[str, ...] = ()) -> DataFrame:
     """Chunk rows of giant texts; ``answer`` says whether matrices or the chunks' texts are returned."""
     kind = pa.string() if answer == "part" else pa.binary()
+    names = ["_n", "_key", "chunk", "low", "high", "is_end", answer]
 
     def run(batches: Iterable[pa.RecordBatch]):
         pieces = pieces_of(path)
@@ -443,12 +444,15 @@ def _giant_chunks(giant: DataFrame, path: str, size: int, answer: str) -> DataFr
                     value = chunk if answer == "part" else _dumped(pieces.transfer(chunk, low, high, is_end))
                     rows.append((row, key, number, low, high, is_end, value))
                 kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), kind)
+                same = pa.array([at] * len(rows), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(zip(*rows), kinds)],
-                    names=["_n", "_key", "chunk", "low", "high", "is_end", answer],
+                    [*(pa.array(v, t) for v, t in zip(zip(*rows), kinds)), *(batch.column(3 + c).take(same) for c in range(len(carried)))],
+                    names=[*names, *carried],
                 )
 
-    return giant.select("_n", "_key", "_text").mapInArrow(run, f"{PARTS}, {answer} {'string' if answer == 'part' else 'binary'}")
+    schema = f"{PARTS}, {answer} {'string' if answer == 'part' else 'binary'}"
+    schema += "".join(f", {c} {giant.schema[c].dataType.simpleString()}" for c in carried)
+    return giant.select("_n", "_key", "_text", *carried).mapInArrow(run, schema)
 
 
 def _dumped(matrix: np.ndarray) -> bytes:
@@ -506,20 +510,30 @@ def encode(
     # a text has at most 2 GB, so its matrices are bounded
     known = checkpointed(matrices.groupBy("_key").applyInArrow(states, "_key binary, chunk long, entry long, leave long"))
 
+    carried = ("_id", "text_crc32")
+
     def trace(batches: Iterable[pa.RecordBatch]):
         pieces = pieces_of(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
                 part = batch.slice(at, 16)
                 ids = [pieces.trace(*args) for args in zip(*(part.column(c).to_pylist() for c in range(2, 8)))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["_n", "chunk", "ids"])
-
-    parts = _giant_chunks(giant, model_path, chunk_chars, "part").join(known, ["_key", "chunk"])
-    traced = parts.select("_n", "chunk", "part", "low", "high", "is_end", "entry", "leave").mapInArrow(trace, "_n long, chunk long, ids binary")
-    whole_ids = traced.groupBy("_n").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("_parts"))
-    joined = giant.select("_n", "_id", "text_crc32").join(whole_ids, "_n").select(
-        "_id", "text_crc32", F.size("_parts").cast("long").alias("chunks"),
-        F.aggregate("_parts", F.lit("").cast("binary"), lambda acc, p: F.concat(acc, p["ids"])).alias("ids"),
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), part.column(8), part.column(9)],
+                    names=["_n", "chunk", "ids", *carried],
+                )
+
+    parts = _giant_chunks(giant, model_path, chunk_chars, "part", carried).join(known, ["_key", "chunk"])
+    traced = parts.select("_n", "chunk", "part", "low", "high", "is_end", "entry", "leave", *carried).mapInArrow(
+        trace, f"_n long, chunk long, ids binary, _id {id_type}, text_crc32 long"
+    )
+    joined = (
+        traced.groupBy("_n")
+        .agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("_parts"), *[F.first(c).alias(c) for c in carried])
+        .select(
+            "_id", "text_crc32", F.size("_parts").cast("long").alias("chunks"),
+            F.aggregate("_parts", F.lit("").cast("binary"), lambda acc, p: F.concat(acc, p["ids"])).alias("ids"),
+        )
     )
     return small.unionByName(joined).withColumnRenamed("_id", id_col)
 

@@ -107,7 +107,8 @@ def test_markov_adds_random_strings_and_leaves_identifiers(frame):
     rng = random.Random(9)
     fresh = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(44))
     words = [f"internationalization_of_{w}_configuration_settings" for w in ("window", "garden", "network", "printer", "history")]
-    training = secret_texts() + [(1000 + i, " ".join(words)) for i in range(5)]
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(300)]
+    training = [(i, f"token: {k} in {' '.join(words)}") for i, k in enumerate(keys)]
     model = secrets.train(frame(training))
     assert model is not None and len(model) == len(secrets.ALPHABET) ** 2
     texts = [(1, f"look {fresh} here"), (2, " ".join(words)), (3, None), (4, f"token={fresh}")]
