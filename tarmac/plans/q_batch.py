@@ -367,6 +367,24 @@ def q_prj1(spark, sf):
     return IN.rename_headers(raw_flights_text(spark, sf))
 
 
+@register(
+    "prj1_rename_headers_text",
+    O.oracle(f"""
+        SELECT CASE l_orderkey % 3 WHEN 0 THEN strftime(flight_date, '%Y-%m-%d')
+                                   WHEN 1 THEN strftime(flight_date, '%-m/%-d/%Y')
+                                   ELSE strftime(flight_date, '%m/%d/%Y') END AS flight_date,
+               CASE WHEN l_linenumber % 2 = 1 THEN ' ' || airline || '  ' ELSE airline END AS airline,
+               CASE WHEN l_orderkey % 2 = 1 THEN ' ' || origin || '  ' ELSE origin END AS origin,
+               CASE WHEN l_orderkey % 2 = 0 THEN ' ' || dest || '  ' ELSE dest END AS dest,
+               CAST(SUM({RAW_COPIES_SQL}) AS BIGINT) AS n
+        FROM base GROUP BY 1, 2, 3, 4"""),
+)
+def q_prj1_text(spark, sf):
+    """The raw text under its canonical names, untouched."""
+    renamed = IN.rename_headers(raw_flights_text(spark, sf))
+    return renamed.groupBy("flight_date", "airline", "origin", "dest").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register(
     "prj2_parse_date_multi",
     O.oracle(f"""SELECT CAST(year(flight_date) AS INTEGER) AS year,
