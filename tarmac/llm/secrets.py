@@ -22,7 +22,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import text_or_empty
+from tarmac.llm.common import checkpointed, text_or_empty
+from tarmac.operators.sampling import bounded_sample
 
 # Fixed patterns of the base spans: the first group is the keyword, the second the value.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -104,8 +105,8 @@ def labelled_samples(df: DataFrame, text_col: str = "text", sample: int = SAMPLE
         (captured(text), 1),
         (F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), 0),
     ):
-        values = df.select(F.explode(strings).alias("value")).distinct()
-        parts.append(values.orderBy(F.xxhash64("value"), "value").limit(sample).withColumn("random", F.lit(label)))
+        values = checkpointed(df.select(F.explode(strings).alias("value")).distinct())
+        parts.append(bounded_sample(values, sample, ["value"]).withColumn("random", F.lit(label)))
     return parts[0].unionByName(parts[1])
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import text_or_empty
+from tarmac.operators.sampling import bounded_sample
 
 # Labelled documents of each label that the model is fitted on.
 SAMPLE = 3000
@@ -152,7 +153,7 @@ def train(
     totals = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for label in (0, 1):
-        part = known.where(F.col("_label") == label).orderBy(F.xxhash64("_id"), "_id").limit(sample)
+        part = bounded_sample(known.where(F.col("_label") == label), sample, ["_id"])
         chosen = part if chosen is None else chosen.unionByName(part)
     # ``chosen`` has at most 2 * sample rows
     documents = (

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import checkpointed
+from tarmac.operators.sampling import bounded_sample
 
 K = 5
 TREES = 8
@@ -140,7 +141,7 @@ def _grow(nodes: DataFrame, dims: int, trees: int, leaf: int, sample: int) -> Fo
             [pa.array([forest.directions.tobytes()]), pa.array([forest.thresholds.tobytes()])], names=["d", "t"]
         )
 
-    chosen = nodes.orderBy(F.xxhash64("_vector"), "_node").limit(sample).select("_vector")
+    chosen = bounded_sample(nodes, sample, ["_node"]).select("_vector")
     found = chosen.repartition(1).mapInArrow(fit, "d binary, t binary").first()
     directions = np.frombuffer(found["d"]).reshape(trees, depth, dims)
     return Forest(directions, np.frombuffer(found["t"]).reshape(trees, -1))
@@ -168,7 +169,7 @@ def best_rows(x: np.ndarray, unit: np.ndarray, ids: list, query: np.ndarray, own
 def _budget(nodes: DataFrame, queries: DataFrame, forest: Forest, dims: int, k: int, count: int, target: float) -> int:
     """Leaves to open so that the calibration queries' exact neighbours are found often enough."""
     # at most ``count`` rows
-    chosen = queries.orderBy(F.xxhash64("_id"), "_id").limit(count).collect()
+    chosen = bounded_sample(queries, count, ["_id"]).collect()
     if not chosen:
         return 1
     probes = [(r["_id"], np.array(r["_vector"], np.float64)) for r in chosen]
