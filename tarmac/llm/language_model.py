@@ -8,7 +8,7 @@ Model.  A gated recurrent unit in numpy with a class-factored softmax: P(word) =
 P(word | class), classes being runs of the frequency-ordered vocabulary.  It is trained by
 truncated backpropagation over windows, the state carried from window to window and reset
 where a document starts, on at most ``TRAIN_DOCUMENTS`` training documents (those with the
-smallest hashes of their texts); counts and vocabulary cover all.  A word outside
+smallest hashes of their ids); counts and vocabulary cover all.  A word outside
 the vocabulary costs the unknown class and its smoothed share among such words.
 
 Scoring.  Whole documents run side by side, the state carried across windows, so the sum is
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import checkpointed, text_or_empty
+from tarmac.operators.sampling import bounded_sample
 
 VOCABULARY = 2048
 # Words whose counts every task holds; rarer ones are joined.
@@ -281,8 +282,20 @@ class WordTable:
         return np.append(ids, self.end)
 
 
-def fit(texts: DataFrame, words_table: WordTable, tokens: int, documents: int = TRAIN_DOCUMENTS) -> GatedModel:
-    """Train on a bounded number of whole documents, in one task; ``texts`` has one column."""
+def most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """The ``limit`` most frequent words, ties to the smaller word.
+
+    A pass over the counts finds the highest power of two that enough words reach; only
+    those words are sorted, so no task and not the driver gets ``limit`` rows per partition.
+    """
+    ladder = counts.agg(*[F.count_if(F.col("n") >= 2**j).alias(f"c{j}") for j in range(60)]).first()
+    least = max([2**j for j in range(60) if ladder[f"c{j}"] >= limit], default=0)
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(limit)
+    return [(bytes(r["word"]), r["n"]) for r in top.collect()]
+
+
+def fit(texts: DataFrame, words_table: WordTable, tokens: int) -> GatedModel:
+    """Train on whole documents (a bounded number of them) in one task; ``texts`` has one column."""
     counts = np.array(words_table.vocabulary_counts, float)
     counts[words_table.unknown] = max(0, tokens - counts.sum())
     shared = texts.sparkSession.sparkContext.broadcast((words_table, counts))
@@ -295,9 +308,7 @@ def fit(texts: DataFrame, words_table: WordTable, tokens: int, documents: int =
         model.train(encoded)
         yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
 
-    column = texts.columns[0]
-    sample = texts.orderBy(F.xxhash64(column), column).limit(documents)
-    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    found = texts.repartition(1).mapInArrow(run, "model binary").first()
     model = GatedModel(words_table.size)
     return model.unpack(found["model"]) if found else model  # an empty table may have no task at all
 
@@ -318,10 +329,9 @@ def score(
     counts = checkpointed(count_words(training))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = total["n"], total["v"]
-    # at most ``frequent`` rows
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]
-    known = WordTable(top, vocabulary)
-    model = fit(training, known, tokens, train_documents)
+    known = WordTable(most_frequent(counts, frequent), vocabulary)
+    sample = bounded_sample(df.where(F.coalesce(is_training, F.lit(False))).select(id_col, text_col), train_documents, [id_col])
+    model = fit(sample.select(text_or_empty(text_col).alias("text")), known, tokens)
     smoothed = tokens + distinct + 1
     other = smoothed - sum(known.counts.get(w, 0) + 1 for w in known.inside if w in known.counts)
     shared = spark.sparkContext.broadcast((known, model.packed()))
