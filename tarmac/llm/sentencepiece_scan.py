@@ -26,6 +26,7 @@ repeated rows are encoded each; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -235,7 +236,7 @@ class Pieces:
             left = last[at]
             if left is None:
                 continue
-            lone = True
+            lone, pair = True, left << 32
             for end in range(at + 1, min(n, at + longest) + 1):
                 piece = get(text[at:end], 0)
                 if piece is None:
@@ -245,14 +246,27 @@ class Pieces:
                 lone = False
                 if last[end] is None:
                     right = piece[0]
-                    ok = left < 0 or known(left << 32 | right)
-                    if ok is None:
-                        ok = apart(left, right)
-                    if ok:
-                        last[end], came[end] = right, at
+                    if left >= 0:
+                        ok = known(pair | right)
+                        if ok is None:
+                            ok = apart(left, right)
+                        if not ok:
+                            continue
+                    last[end] = right
+                    came[end] = at
             if lone or last[at + 1] is None and text[at] not in self.score:
                 last[at + 1], came[at + 1] = LONE, at
-        return self._ids(text, [(0.0, p, c) for p, c in zip(last, came)], 0, n)
+        ids: list[int] = []
+        at = n
+        while at > 0:
+            if last[at] != LONE:
+                ids.append(last[at])
+            elif self.byte_ids:
+                ids += [self.byte_ids[b] for b in text[came[at]].encode("utf-8", "surrogatepass")[::-1]]
+            else:
+                ids.append(self.unknown_id)
+            at = came[at]
+        return struct.pack(f"<{len(ids)}I", *ids[::-1])
 
     def unit(self, text: str) -> bytes:
         """Ids of a word between forced boundaries."""
