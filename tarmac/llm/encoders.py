@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ CACHE_ENTRIES = 500_000
 SEGMENT_CHARS = 1 << 20
 
 # Characters whose NFC form is themselves and whose lower case does not depend on context.
-_PLAIN = regex.compile("[\x21-\x7eÀ-įı-ɏ]*")
+PLAIN = "\x21-\x7eÀ-įı-ɏ"
 
 
 def byte_symbols() -> list[str]:
@@ -70,7 +71,9 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.pattern = _split_pattern(spec)
-        self.added = [t["content"] for t in spec["added_tokens"]]
+        # plain chunks hold no character that starts a special token's string
+        starts = "".join(regex.escape(c) for c in {t["content"][0] for t in spec["added_tokens"]})
+        self.is_plain = regex.compile(f"[[{PLAIN}]--[{starts}]]*" if starts else f"[{PLAIN}]*", regex.V1).fullmatch
         self.model = self.tokenizer.model
         self.symbols = byte_symbols()
         self.cache_entries = cache_entries
@@ -81,16 +84,18 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID_TYPE).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        word = piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode())
-        found = np.array([t.id for t in self.model.tokenize(word)], ID_TYPE).tobytes()
-        self.pieces[piece] = found
+        word = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(word)]
+        found = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        if not _PLAIN.fullmatch(chunk) or any(a in chunk for a in self.added):
+        if not self.is_plain(chunk):
             return self._whole(chunk)
-        pieces = self.pieces
-        return b"".join([pieces.get(p) or self._piece(p) for p in self.pattern.findall(chunk.lower())])
+        pieces, lowered = self.pieces, chunk.lower()
+        if chunk.isalpha():  # one run of letters is one pre-token
+            return pieces.get(lowered) or self._piece(lowered)
+        return b"".join([pieces.get(p) or self._piece(p) for p in self.pattern.findall(lowered)])
 
     def encode(self, text: str) -> bytes:
         if self.pattern is None:
@@ -100,17 +105,16 @@ class WordEncoder:
     def _segment(self, part: str) -> bytes:
         words = part.replace("\n", " ").split(" ")
         cache = self.chunks
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        if len(cache) > self.cache_entries:
-            cache.clear()
-        if len(self.pieces) > self.cache_entries:
-            self.pieces.clear()
-        for word in words:
-            if word not in cache:
-                cache[word] = self._chunk(word)
+        missing = set(words).difference(cache)
+        if missing:
+            if len(cache) > self.cache_entries:
+                cache.clear()
+                missing = set(words)
+            if len(self.pieces) > self.cache_entries:
+                self.pieces.clear()
+            chunk = self._chunk
+            for word in missing:
+                cache[word] = chunk(word)
         return b"".join(map(cache.__getitem__, words))
 
 
