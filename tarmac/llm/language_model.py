@@ -1,14 +1,17 @@
 """Scoring documents with a gated recurrent language model.
 
 Counts.  Every word of all training documents is counted (partial counts per task, then one
-aggregation).  They give the add-one unigram base score and the model's vocabulary: its
-most frequent words, the end of a document, and a class of its own for all other words.
+aggregation).  They give the add-one unigram base score and the model's vocabulary: the words
+seen at least ``LEAST_SEEN`` times (the ``VOCABULARY`` most frequent of them), the end of a
+document, and a class of its own for all other words.
 
 Model.  A gated recurrent unit in numpy with a class-factored softmax: P(word) = P(class) *
-P(word | class), classes being runs of the frequency-ordered vocabulary.  It is trained by
-truncated backpropagation over windows, the state carried from window to window and reset
-where a document starts, on at most ``TRAIN_DOCUMENTS`` training documents (those with the
-smallest hashes of their ids); counts and vocabulary cover all.  A word outside
+P(word | class), classes being runs of the frequency-ordered vocabulary.  It is trained on all
+training documents in ``ROUNDS`` rounds, each over the rows of one hash bucket: every partition
+starts from the shared parameters, runs truncated backpropagation over blocks of its documents
+(the state carried from window to window and reset where a document starts) and emits them;
+an aggregation averages each row of a parameter by the tokens that trained it, and a written
+table cuts the lineage.  A small table is read in one partition and several times.  A word outside
 the vocabulary costs the unknown class and its smoothed share among such words.
 
 Scoring.  Whole documents run side by side, the state carried across windows, so the sum is
@@ -31,20 +34,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import checkpointed, text_or_empty
+from tarmac.llm.common import checkpointed, removed, text_or_empty, written
 from tarmac.operators.sampling import bounded_sample
 
-VOCABULARY = 2048
 # Words whose counts every task holds; rarer ones are joined.
 FREQUENT = 100_000
-TRAIN_DOCUMENTS = 1500
+# The model's vocabulary: words seen so often, at most so many (a token costs the square root of them).
+LEAST_SEEN = 5
+VOCABULARY = 1 << 15
 HIDDEN = 24
-LANES = 96
+LANES = 1024
 WINDOW = 16
-EPOCHS = 2
-# Small samples are read more often, up to MAX_EPOCHS times, for at least so many updates.
+# Tokens that a partition trains on at a time, and at least so many of a round in a partition.
+BLOCK = 1 << 18
+SHARD_TOKENS = 1 << 21
+ROUNDS = 3
+# Positions that are scored together, and rows of a softmax that are held at once.
+SCORED_ROWS = 1 << 14
+SOFTMAX_ROWS = 1024
+# Small tables are read more often, up to MAX_EPOCHS times, for at least so many updates.
 MIN_UPDATES = 400
 MAX_EPOCHS = 20
+# Numbers of a parameter in one row of the aggregation; partial sums of a parameter before its sum.
+PART = 1 << 16
+PARTIAL_SUMS = 16
 END = b""  # the end token: no word is empty
 COUNTER_ENTRIES = 300_000
 
@@ -96,7 +109,8 @@ class GatedModel:
         f = np.float32
         h = hidden
         self.p = {
-            "wx": (rng.standard_normal((vocabulary, 3 * h)) * 0.1).astype(f),  # input embedding times input weights
+            "e": (rng.standard_normal((vocabulary, h)) * 0.3).astype(f),
+            "w": (rng.standard_normal((h, 3 * h)) / math.sqrt(h)).astype(f),
             "u": (rng.standard_normal((h, 3 * h)) / math.sqrt(h) * 0.5).astype(f),
             "b": np.zeros(3 * h, f),
             "wc": np.zeros((h, self.classes), f),
@@ -119,7 +133,7 @@ class GatedModel:
 
     def step(self, ids: np.ndarray, h: np.ndarray):
         n = self.hidden
-        x = self.p["wx"][ids] + self.p["b"]
+        x = self.p["e"][ids] @ self.p["w"] + self.p["b"]
         g = h @ self.p["u"]
         z = _sigmoid(x[:, :n] + g[:, :n])
         r = _sigmoid(x[:, n : 2 * n] + g[:, n : 2 * n])
@@ -129,100 +143,64 @@ class GatedModel:
     def log_probabilities(self, h: np.ndarray, ids: np.ndarray, grad: dict | None = None, scale: float = 1.0):
         """log P(id | state) of rows; with ``grad``, adds the output gradients and returns d loss / d h."""
         kind, place = ids // self.size, ids % self.size
-        rows = np.arange(len(ids))
-        a = h @ self.p["wc"] + self.p["bc"]
-        a -= a.max(axis=1, keepdims=True)
-        e = np.exp(a)
-        s = e.sum(axis=1)
-        logp = a[rows, kind] - np.log(s)
-        dh = None
-        if grad is not None:
-            da = e / s[:, None]
-            da[rows, kind] -= 1
-            da *= scale
-            grad["wc"] += h.T @ da
-            grad["bc"] += da.sum(axis=0)
-            dh = da @ self.p["wc"].T
+        logp = np.empty(len(ids), h.dtype)
+        dh = None if grad is None else np.empty_like(h)
+
+        def softmax(rows, target, w, b, dw, db):
+            hk = h[rows]
+            a = hk @ w
+            a += b
+            at = np.arange(len(hk))
+            own = a[at, target]
+            with np.errstate(over="ignore"):
+                e = np.exp(a)
+                s = e.sum(axis=1)
+            if not (np.isfinite(s).all() and s.min() > 1e-20):  # out of the range of plain exponentials
+                highest = a.max(axis=1, keepdims=True)
+                own = own - highest[:, 0]
+                e = np.exp(a - highest)
+                s = e.sum(axis=1)
+            if dw is None:
+                return own - np.log(s), None
+            e *= (scale / s)[:, None].astype(e.dtype)
+            e[at, target] -= scale
+            dw += hk.T @ e
+            db += e.sum(axis=0)
+            return own - np.log(s), e @ w.T
+
+        for at in range(0, len(ids), SOFTMAX_ROWS):
+            rows = slice(at, at + SOFTMAX_ROWS)
+            into = (None, None) if grad is None else (grad["wc"], grad["bc"])
+            logp[rows], back = softmax(rows, kind[rows], self.p["wc"], self.p["bc"], *into)
+            if grad is not None:
+                dh[rows] = back
         order = np.argsort(kind, kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
         for k in np.flatnonzero(np.diff(bounds)).tolist():
-            own = order[bounds[k] : bounds[k + 1]]
-            hk = h[own]
-            a = hk @ self.p["wo"][k] + self.p["bo"][k]
-            a -= a.max(axis=1, keepdims=True)
-            e = np.exp(a)
-            s = e.sum(axis=1)
-            at = np.arange(len(own))
-            logp[own] += a[at, place[own]] - np.log(s)
-            if grad is not None:
-                da = e / s[:, None]
-                da[at, place[own]] -= 1
-                da *= scale
-                grad["wo"][k] += hk.T @ da
-                grad["bo"][k] += da.sum(axis=0)
-                dh[own] += da @ self.p["wo"][k].T
+            into = (None, None) if grad is None else (grad["wo"][k], grad["bo"][k])
+            for at in range(bounds[k], bounds[k + 1], SOFTMAX_ROWS):
+                rows = order[at : min(at + SOFTMAX_ROWS, bounds[k + 1])]
+                found, back = softmax(rows, place[rows], self.p["wo"][k], self.p["bo"][k], *into)
+                logp[rows] += found
+                if grad is not None:
+                    dh[rows] += back
         return logp, dh
 
-    def train(self, documents: list[np.ndarray], lanes: int = LANES, window: int = WINDOW, epochs: int = EPOCHS) -> None:
-        """Truncated backpropagation; documents are laid end to end in every lane.
-
-        Each document ends with its end token, which is also what precedes a document.
-        """
-        if not documents:
-            return
-        end = documents[0][-1]
-        stream = np.concatenate(documents)
-        before = np.concatenate([[end], stream[:-1]])
-        first = np.zeros(len(stream), bool)
-        first[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
-        lanes = max(1, min(lanes, len(stream) // (20 * window)))
-        length = len(stream) // lanes
-        epochs = min(MAX_EPOCHS, max(epochs, -(-MIN_UPDATES * window // max(1, length))))
-        cut = lambda v: v[: lanes * length].reshape(lanes, length)
-        inputs, targets, starts = cut(before), cut(stream), cut(first)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
-        done, total = 0, epochs * -(-length // window)
-        n = self.hidden
-        for _ in range(epochs):
-            h = np.zeros((lanes, n), np.float32)
-            for at in range(0, length, window):
-                steps = min(window, length - at)
-                states, kept, befores = [], [], []
-                for t in range(steps):
-                    h = h * ~starts[:, at + t, None]
-                    befores.append(h)
-                    h, cache = self.step(inputs[:, at + t], h)
-                    states.append(h)
-                    kept.append(cache)
-                grad = {k: np.zeros_like(v) for k, v in self.p.items()}
-                _, out = self.log_probabilities(
-                    np.concatenate(states), targets[:, at : at + steps].T.ravel(), grad, 1.0 / (steps * lanes)
-                )
-                out = out.reshape(steps, lanes, n)
-                dh = np.zeros((lanes, n), np.float32)
-                dx = np.empty((steps, lanes, 3 * n), np.float32)
-                for t in range(steps - 1, -1, -1):
-                    dh = dh + out[t]
-                    z, r, c, gc = kept[t]
-                    hb = befores[t]
-                    dc = dh * (1 - z) * (1 - c * c)
-                    dz = dh * (hb - c) * z * (1 - z)
-                    dr = dc * gc * r * (1 - r)
-                    dg = np.concatenate([dz, dr, dc * r], axis=1)
-                    dx[t] = np.concatenate([dz, dr, dc], axis=1)
-                    grad["u"] += hb.T @ dg
-                    dh = (dh * z + dg @ self.p["u"].T) * ~starts[:, at + t, None]
-                grad["b"] += dx.sum(axis=(0, 1))
-                np.add.at(grad["wx"], inputs[:, at : at + steps].T.ravel(), dx.reshape(-1, 3 * n))
-                done += 1
-                rate = 0.01 * (1 - 0.9 * done / total)
-                for k, g in grad.items():
-                    m[k] = 0.9 * m[k] + 0.1 * g
-                    v2[k] = 0.99 * v2[k] + 0.01 * g * g
-                    self.p[k] = self.p[k] - np.float32(rate * math.sqrt(1 - 0.99**done) / (1 - 0.9**done)) * m[k] / (np.sqrt(v2[k]) + 1e-7)
-
-    def score(self, documents: list[np.ndarray], end: int, lanes: int = 1024, window: int = 32) -> np.ndarray:
+    def train(self, documents: Iterable[np.ndarray], lanes: int = LANES, window: int = WINDOW, rate: float = 0.01) -> Training:
+        """Truncated backpropagation on all documents, a block of them at a time."""
+        training = Training(self, lanes, window, rate)
+        block, held = [], 0
+        for document in documents:
+            block.append(document)
+            held += len(document)
+            if held >= BLOCK:
+                training.run(block)
+                block, held = [], 0
+        if block:
+            training.run(block)
+        return training
+
+    def score(self, documents: list[np.ndarray], end: int, lanes: int = 1024, window: int = 16) -> np.ndarray:
         """Natural-log probability of each document's whole token sequence."""
         out = np.zeros(len(documents))
         by_length = sorted(range(len(documents)), key=lambda d: -len(documents[d]))
@@ -233,19 +211,49 @@ class GatedModel:
             first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             h = np.zeros((len(own), self.hidden), np.float32)
             previous = np.full(len(own), end)
-            for at in range(0, int(lengths[0]), window):
-                states, targets, owners = [], [], []
-                for t in range(at, min(at + window, int(lengths[0]))):
-                    active = int(np.searchsorted(-lengths, -t, "left"))  # lanes longer than t
-                    h, _ = self.step(previous[:active], h[:active])
-                    previous = flat[first[:active] + t]
-                    states.append(h)
-                    targets.append(previous)
-                    owners.append(np.arange(active))
-                logp, _ = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
-                out[own] += np.bincount(np.concatenate(owners), logp.astype(float), len(own))
+            states, targets, owners, held = [], [], [], 0
+            for t in range(int(lengths[0])):
+                active = int(np.searchsorted(-lengths, -t, "left"))  # lanes longer than t
+                h, _ = self.step(previous[:active], h[:active])
+                previous = flat[first[:active] + t]
+                states.append(h)
+                targets.append(previous)
+                owners.append(np.arange(active))
+                held += active
+                if (len(states) >= window and held >= SCORED_ROWS) or t + 1 == lengths[0]:
+                    logp, _ = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
+                    out[own] += np.bincount(np.concatenate(owners), logp.astype(float), len(own))
+                    states, targets, owners, held = [], [], [], 0
         return out
 
+    def parts(self, training: Training):
+        """The parameters' rows times their tokens, and these tokens, in rows of bounded size."""
+        salt, number = int(training.seen.sum() + training.seen.argmax()) % max(1, PARTIAL_SUMS), 0
+        for name in sorted(self.p):
+            weight = training.weights(name).astype(float)
+            values = self.p[name].reshape(len(weight), -1)
+            rows = max(1, PART // (values.shape[1] + 1))
+            for at in range(0, len(weight), rows):
+                w = weight[at : at + rows, None]
+                numbers = np.hstack([values[at : at + rows] * w, w]).astype("<f4").tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([salt], pa.int32()), pa.array([numbers], pa.binary())], names=["part", "salt", "numbers"]
+                )
+                number += 1
+
+    def average(self, sums: dict[int, bytes]) -> None:
+        """Take the averages of summed ``parts``; rows that no token trained stay as they are."""
+        number = 0
+        for name in sorted(self.p):
+            values = self.p[name].reshape(len(self.p[name]), -1)
+            rows = max(1, PART // (values.shape[1] + 1))
+            for at in range(0, len(values), rows):
+                if number in sums:
+                    found = np.frombuffer(sums[number], "<f4").astype(float).reshape(-1, values.shape[1] + 1)
+                    some = np.flatnonzero(found[:, -1] > 0)
+                    values[at + some] = found[some, :-1] / found[some, -1:]
+                number += 1
+
     def packed(self) -> bytes:
         return b"".join(self.p[k].astype("<f4").tobytes() for k in sorted(self.p))
 
@@ -258,14 +266,115 @@ class GatedModel:
         return self
 
 
+class Training:
+    """Parameter updates of one partition: Adam; rows and classes that a window lacks stay as they are."""
+
+    SPARSE = ("e", "wo", "bo")
+
+    def __init__(self, model: GatedModel, lanes: int, window: int, rate: float):
+        self.model, self.lanes, self.window, self.rate = model, lanes, window, rate
+        self.m = {k: np.zeros_like(v) for k, v in model.p.items() if k not in self.SPARSE}
+        self.v = {k: np.zeros_like(v) for k, v in model.p.items() if k not in self.SPARSE}
+        self.squares = {k: np.zeros(len(model.p[k]), np.float32) for k in self.SPARSE}
+        self.updates, self.tokens = 0, 0
+        self.seen = np.zeros(model.vocabulary, np.int64)  # as targets
+        self.grad = {k: np.zeros_like(v) for k, v in model.p.items() if k != "e"}
+
+    def run(self, documents: list[np.ndarray]) -> None:
+        """One pass; documents are laid end to end in every lane, the last one filled up.
+
+        Each document ends with its end token, which is also what precedes a document.
+        """
+        end = documents[0][-1]
+        stream = np.concatenate(documents)
+        before = np.concatenate([[end], stream[:-1]])
+        first = np.zeros(len(stream), bool)
+        first[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
+        self.seen += np.bincount(stream, minlength=self.model.vocabulary)
+        self.tokens += len(stream)
+        lanes = max(1, min(self.lanes, len(stream) // (20 * self.window)))
+        length = -(-len(stream) // lanes)
+        cut = lambda v, fill: np.append(v, np.full(lanes * length - len(v), fill, v.dtype)).reshape(lanes, length)
+        inputs, targets, starts = cut(before, end), cut(stream, -1), cut(first, False)
+        h = np.zeros((lanes, self.model.hidden), np.float32)
+        for at in range(0, length, self.window):
+            own = slice(at, at + self.window)
+            h = self.step(inputs[:, own], targets[:, own], starts[:, own], h)
+
+    def step(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, h: np.ndarray) -> np.ndarray:
+        model, grad = self.model, self.grad
+        p, n, (lanes, steps) = model.p, model.hidden, inputs.shape
+        states, kept, befores = [], [], []
+        for t in range(steps):
+            h = h * ~starts[:, t, None]
+            befores.append(h)
+            h, cache = model.step(inputs[:, t], h)
+            states.append(h)
+            kept.append(cache)
+        wanted = targets.T.ravel()
+        valid = np.flatnonzero(wanted >= 0)
+        if not len(valid):
+            return h
+        ids = wanted[valid]
+        touched = np.unique(ids // model.size)
+        for k, g in grad.items():
+            g[touched if k in self.SPARSE else slice(None)] = 0
+        out = np.zeros((steps * lanes, n), np.float32)
+        _, out[valid] = model.log_probabilities(np.concatenate(states)[valid], ids, grad, 1.0 / len(valid))
+        out = out.reshape(steps, lanes, n)
+        dh = np.zeros((lanes, n), np.float32)
+        dx = np.empty((steps, lanes, 3 * n), np.float32)
+        for t in range(steps - 1, -1, -1):
+            dh = dh + out[t]
+            z, r, c, gc = kept[t]
+            hb = befores[t]
+            dc = dh * (1 - z) * (1 - c * c)
+            dz = dh * (hb - c) * z * (1 - z)
+            dr = dc * gc * r * (1 - r)
+            dg = np.concatenate([dz, dr, dc * r], axis=1)
+            dx[t] = np.concatenate([dz, dr, dc], axis=1)
+            grad["u"] += hb.T @ dg
+            dh = (dh * z + dg @ p["u"].T) * ~starts[:, t, None]
+        flat, source = dx.reshape(-1, 3 * n), inputs.T.ravel()
+        grad["b"] += flat.sum(axis=0)
+        grad["w"] += p["e"][source].T @ flat
+        order = np.argsort(source, kind="stable")
+        rows, at = np.unique(source[order], return_index=True)
+        self.updates += 1
+        self.sparse("e", rows, np.add.reduceat((flat @ p["w"].T)[order], at))
+        for k in ("wo", "bo"):
+            self.sparse(k, touched, grad[k][touched])
+        rate = self.rate * math.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
+        for k in self.m:
+            self.m[k] += 0.1 * (grad[k] - self.m[k])
+            self.v[k] += 0.01 * (grad[k] * grad[k] - self.v[k])
+            p[k] -= np.float32(rate) * self.m[k] / (np.sqrt(self.v[k]) + 1e-7)
+        return h
+
+    def sparse(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
+        """Steps of the rows that have a gradient, by the squares that each has gathered."""
+        axes = tuple(range(1, grad.ndim))
+        self.squares[name][rows] += (grad * grad).mean(axis=axes)
+        size = np.sqrt(self.squares[name][rows]) + 1e-7
+        self.model.p[name][rows] -= 5 * self.rate * grad / size.reshape(-1, *[1] * len(axes))
+
+    def weights(self, name: str) -> np.ndarray:
+        """How many tokens trained each row of a parameter."""
+        if name == "e":
+            return self.seen
+        if name in self.SPARSE:
+            return np.add.reduceat(self.seen, np.arange(0, self.model.vocabulary, self.model.size))
+        return np.full(len(self.model.p[name]), self.tokens)
+
+
 # -------------------------------------------------------- training, scoring
 
 
 class WordTable:
     """The bounded table of frequent words: ids of the model's vocabulary, and counts."""
 
-    def __init__(self, frequent: list[tuple[bytes, int]], vocabulary: int):
-        known = [w for w, _ in frequent if w != END][: max(0, vocabulary - 2)]
+    def __init__(self, frequent: list[tuple[bytes, int]], vocabulary: int, least: int = LEAST_SEEN):
+        known = [w for w, n in frequent if w != END and n >= least][: max(0, vocabulary - 2)]
         order = [END, None, *known]  # None stands for all other words
         counts = dict(frequent)
         inside = set(known) | {END}
@@ -294,23 +403,76 @@ def most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
     return [(bytes(r["word"]), r["n"]) for r in top.collect()]
 
 
-def fit(texts: DataFrame, words_table: WordTable, tokens: int) -> GatedModel:
-    """Train on whole documents (a bounded number of them) in one task; ``texts`` has one column."""
-    counts = np.array(words_table.vocabulary_counts, float)
-    counts[words_table.unknown] = max(0, tokens - counts.sum())
-    shared = texts.sparkSession.sparkContext.broadcast((words_table, counts))
+def _summed(parts: DataFrame, *keys: str) -> DataFrame:
+    """Sums of the number rows of equal keys; a task holds one row for each of its keys."""
 
     def run(batches: Iterable[pa.RecordBatch]):
-        known, start = shared.value
-        encoded = [known.encode(words(t)) for b in batches for t in b.column(0).to_pylist()]
-        model = GatedModel(known.size)
-        model.start_from(start)
-        model.train(encoded)
-        yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
-
-    found = texts.repartition(1).mapInArrow(run, "model binary").first()
+        sums: dict = {}
+        for batch in batches:
+            for key, salt, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+                at = (key, salt if "salt" in keys else 0)
+                found = np.frombuffer(numbers, "<f4").astype(float)
+                sums[at] = sums[at] + found if at in sums else found
+        for (key, salt), numbers in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key], pa.int32()), pa.array([salt], pa.int32()), pa.array([numbers.astype("<f4").tobytes()], pa.binary())], names=["part", "salt", "numbers"]
+            )
+
+    return parts.repartition(*keys).mapInArrow(run, parts.schema)
+
+
+def fit(texts: DataFrame, words_table: WordTable, counted: int, tokens: int, rounds: int = ROUNDS) -> GatedModel:
+    """Train on all documents of ``texts`` (one column, ``tokens`` in all); rounds of averaged partitions.
+
+    ``counted`` are the tokens behind the word table.
+    """
+    spark = texts.sparkSession
+    counts = np.array(words_table.vocabulary_counts, float)
+    counts[words_table.unknown] = max(0, counted - counts.sum())
     model = GatedModel(words_table.size)
-    return model.unpack(found["model"]) if found else model  # an empty table may have no task at all
+    model.start_from(counts)
+    shared_words = spark.sparkContext.broadcast(words_table)
+    if tokens < rounds * SHARD_TOKENS:
+        rounds = 1
+    shards = max(1, tokens // (rounds * SHARD_TOKENS))
+    # a single partition reads a small table again until it has made enough updates
+    lanes = max(1, min(LANES, 96, tokens // (20 * WINDOW))) if shards == 1 else LANES
+    epochs = min(MAX_EPOCHS, max(1, -(-MIN_UPDATES * WINDOW * lanes // max(1, tokens)))) if shards == 1 else 1
+
+    for number in range(rounds):
+        rate = 0.01 * (1 - 0.8 * number / rounds)
+        shared = spark.sparkContext.broadcast(model.packed())
+
+        def run(batches: Iterable[pa.RecordBatch], rate=rate, shared=shared):
+            known = shared_words.value
+            own = GatedModel(known.size).unpack(shared.value)
+            read = (
+                known.encode(words(t))
+                for b in batches for at in range(0, b.num_rows, 64) for t in b.column(0).slice(at, 64).to_pylist()
+            )
+            if epochs == 1:
+                training = own.train(read, lanes, rate=rate)
+            else:
+                documents = list(read)
+                if not documents:
+                    return
+                training = Training(own, lanes, WINDOW, rate)
+                for epoch in range(epochs):
+                    training.rate = rate * (1 - 0.9 * epoch / epochs)
+                    training.run(documents)
+            if training.tokens:
+                yield from own.parts(training)
+
+        schema = "part int, salt int, numbers binary"
+        bucket = texts if rounds == 1 else texts.where(F.pmod(F.xxhash64(F.col(texts.columns[0])), F.lit(rounds)) == number)
+        parts = bucket.coalesce(shards).mapInArrow(run, schema)
+        if parts.rdd.getNumPartitions() > 4 * PARTIAL_SUMS:
+            parts = _summed(parts, "part", "salt")
+        sums, path = written(_summed(parts, "part"))
+        model.average({r["part"]: r["numbers"] for r in sums.select("part", "numbers").toLocalIterator()})
+        removed(spark, [path])
+        shared.unpersist()
+    return model
 
 
 def score(
@@ -320,9 +482,12 @@ def score(
     text_col: str = "text",
     vocabulary: int = VOCABULARY,
     frequent: int = FREQUENT,
-    train_documents: int = TRAIN_DOCUMENTS,
+    train_documents: int | None = None,
 ) -> DataFrame:
-    """One row per input row: id, trained_on, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    """One row per input row: id, trained_on, n_tokens, n_known, train_tokens, base_score, score (log10).
+
+    The model learns from all training rows; ``train_documents`` restricts it to so many.
+    """
     spark = df.sparkSession
     texts = df.select(text_or_empty(text_col).alias("text"), F.coalesce(is_training, F.lit(False)).alias("_train"))
     training = texts.where("_train").select("text")
@@ -330,8 +495,12 @@ def score(
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = total["n"], total["v"]
     known = WordTable(most_frequent(counts, frequent), vocabulary)
-    sample = bounded_sample(df.where(F.coalesce(is_training, F.lit(False))).select(id_col, text_col), train_documents, [id_col])
-    model = fit(sample.select(text_or_empty(text_col).alias("text")), known, tokens)
+    learned, learned_tokens = training, tokens
+    if train_documents is not None:
+        sample = bounded_sample(df.where(F.coalesce(is_training, F.lit(False))).select(id_col, text_col), train_documents, [id_col])
+        learned = checkpointed(sample.select(text_or_empty(text_col).alias("text")))
+        learned_tokens = count_words(learned).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    model = fit(learned, known, tokens, learned_tokens)
     smoothed = tokens + distinct + 1
     other = smoothed - sum(known.counts.get(w, 0) + 1 for w in known.inside if w in known.counts)
     shared = spark.sparkContext.broadcast((known, model.packed()))

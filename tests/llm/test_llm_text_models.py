@@ -184,6 +184,28 @@ def test_language_model_beats_unigrams_on_held_out_text(frame):
     assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)  # log10: less negative
 
 
+def test_language_model_trains_on_every_training_row(frame, monkeypatch):
+    rng = random.Random(12)
+    pairs = [(i, " ".join(f"w{rng.randrange(2500)}" for _ in range(12))) for i in range(1800)]
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1500)  # more shards than partitions, each read once
+    monkeypatch.setattr(lm, "PARTIAL_SUMS", 0)  # partial sums, then sums
+    trained, sizes, average = [], [], lm.GatedModel.average
+
+    def watched(model, sums):
+        # part 0 holds the bias "b": its last column is the number of tokens
+        trained.append(np.frombuffer(sums[0], "<f4").reshape(-1, 2)[0, 1])
+        sizes.append(model.vocabulary)
+        average(model, sums)
+
+    monkeypatch.setattr(lm.GatedModel, "average", watched)
+    training = {d for d, _ in pairs if zlib.crc32(str(d).encode()) % 7 != 2}
+    rows = lm.score(frame(pairs), queries.fold(F.col("doc_id"), 7) != 2).collect()
+    assert len(rows) == len(pairs) and all(math.isfinite(r.score) for r in rows)
+    assert len(trained) == lm.ROUNDS and sum(trained) == 13 * len(training)
+    counts = collections.Counter(w for d, t in pairs if d in training for w in t.split())
+    assert set(sizes) == {2 + sum(n >= lm.LEAST_SEEN for n in counts.values())} and sizes[0] > 2048
+
+
 def test_language_model_without_training_rows(frame):
     rows = lm.score(frame([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in rows] == [(0, 0, 0.0)] * 2
