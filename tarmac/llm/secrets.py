@@ -3,7 +3,7 @@
 Built-in DataFrame functions only.  Base spans come from three patterns (assignments,
 access keys, hex strings; leftmost, non-overlapping per kind).  The strings that they
 capture, and ordinary identifiers from the same texts, are the labelled samples of two
-first-order character models.  A token that no pattern covers becomes a span of its own
+first-order character models.  A token, or what base spans leave of it, becomes a span of its own
 (kind ``markov``) when the log-likelihood ratio of the two models says that it is random.
 
 The models are fitted on at most ``SAMPLE`` distinct strings of each label (those with
@@ -33,7 +33,7 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=.-"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = "[A-Za-z0-9+/_=-]"
 IDENTIFIER = r"[A-Za-z][A-Za-z_-]{9,}"
 SAMPLE = 20_000
 SMOOTHING = 0.5
@@ -94,6 +94,11 @@ def captured(text: Column) -> Column:
 # ------------------------------------------------------------- the models
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with every span overwritten by as many spaces: positions stay."""
+    return redacted(text, spans, None)
+
+
 def labelled_samples(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(value, random): at most ``sample`` distinct strings of each label."""
     text = text_or_empty(text_col)
@@ -139,6 +144,11 @@ def fit(samples: DataFrame) -> list[float] | None:
     return [r - o for r, o in zip(*logs)]
 
 
+def shortest(model: list[float], threshold: float) -> int | None:
+    """The length below which no token can reach the threshold (None: no length can)."""
+    return max(2, 1 + math.ceil(threshold / max(model))) if max(model) > 0 else None
+
+
 def log_ratio(token: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a token (random over ordinary) in nats."""
     table = F.array(*[F.lit(x) for x in model])
@@ -157,13 +167,19 @@ def scan(df: DataFrame, model: list[float] | None, text_col: str = "text", thres
     based = rows.withColumn("base", base_spans(F.col("_text")))
     if model is None:
         return based.withColumn("spans", F.col("base"))
-    tokens = based.withColumn("_tokens", _spans(F.col("_text"), CANDIDATE, "markov"))
-    free = tokens.withColumn(
-        "_tokens",
-        F.filter("_tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))),
+    length = shortest(model, threshold)
+    if length is None:
+        return based.withColumn("spans", F.col("base"))
+    # what base spans leave of a token is a token
+    free = based.withColumn("_free", F.when(F.size("base") > 0, blanked(F.col("_text"), F.col("base"))).otherwise(F.col("_text")))
+    candidate = f"{TOKEN}{{{length},}}"
+    random = F.transform(
+        F.regexp_extract_all("_free", F.lit(candidate), F.lit(0)), lambda t: log_ratio(t, model) >= threshold
     )
-    random = F.filter("_tokens", lambda t: log_ratio(t["value"], model) >= threshold)
-    return free.withColumn("spans", F.array_sort(F.concat("base", random))).drop("_tokens")
+    judged = free.withColumn("_random", random)
+    tokens = _spans(F.col("_free"), candidate, "markov", F.col("_random"))
+    spans = F.when(F.exists("_random", lambda r: r), F.array_sort(F.concat("base", tokens))).otherwise(F.col("base"))
+    return judged.withColumn("spans", spans).drop("_random", "_free")
 
 
 def joined(spans: str) -> Column:
@@ -171,13 +187,16 @@ def joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every (possibly overlapping) span replaced by one mark."""
+def redacted(text: Column, spans: Column, mark: str | None = "[SECRET]") -> Column:
+    """The text with every (possibly overlapping) span replaced by one mark (None: by as many spaces)."""
 
     def cut(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
+        begins = F.greatest(acc["at"], s["start"])
+        put = F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - begins)) if mark is None else F.lit(mark)
+        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, begins - acc["at"]), put)
+        new = F.lit(True) if mark is None else s["start"] >= acc["at"]
         return F.struct(
-            F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"),
+            F.when(new, fresh).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], s["end"]).alias("at"),
         )
 

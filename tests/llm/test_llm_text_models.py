@@ -118,6 +118,31 @@ def test_markov_adds_random_strings_and_leaves_identifiers(frame):
     assert got[4] == expected_base(f"token={fresh}")  # covered by the pattern: no second span
 
 
+@pytest.fixture(scope="module")
+def prose_model(frame):
+    rng = random.Random(10)
+    syllables = ["ta", "ren", "mo", "lis", "ver", "con", "ti", "on", "pa", "sel"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 6)))
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"{' '.join(word() for _ in range(40))} token={''.join(rng.choice(chars) for _ in range(32))}" for _ in range(300)]
+    return secrets.train(frame([(i, t) for i, t in enumerate(texts)]))
+
+
+def markov_spans(frame, model, texts):
+    rows = secrets.scan(frame(list(enumerate(texts))), model).select("_row.doc_id", "_row.text", "spans").collect()
+    found = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "markov"] for r in rows}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_short_random_strings_and_the_rest_of_split_tokens_are_found(frame, prose_model):
+    fresh, rest = "x9Kq2LmZ7vRt4WpB", "Zq8Xw3Kv9Ju2Rm5T"
+    texts = [f"look {fresh} here", "at Q7xZ9kW2 too", f"{rest}/{'0123456789abcdef' * 2}", f"AKIA{'A1B2C3D4' * 2}_{rest.lower()}{rest}"]
+    got = markov_spans(frame, prose_model, texts)
+    assert got[0] == [fresh] and got[1] == ["Q7xZ9kW2"]
+    assert len(got[2]) == 1 and got[2][0].startswith(rest)
+    assert len(got[3]) == 1 and got[3][0].endswith(rest)
+
+
 def test_redaction_keeps_everything_else(frame):
     texts = [(1, "a token=abcdef123 b"), (2, "clean text"), (3, None), (4, "é🙂 token=" + "0123456789abcdef" * 3 + " z " + "f" * 30)]
     df = frame(texts, clashing=True)
