@@ -2,12 +2,16 @@
 
 Built-in DataFrame functions only.  Base spans come from three patterns (assignments,
 access keys, hex strings; leftmost, non-overlapping per kind).  The strings that they
-capture, and ordinary identifiers from the same texts, are the labelled samples of two
-first-order character models.  A token, or what base spans leave of it, becomes a span of its own
-(kind ``markov``) when the log-likelihood ratio of the two models says that it is random.
+capture, and the tokens of the same texts outside them, are the labelled samples of
+first-order character models: one of random strings, and one of ordinary tokens for each
+make-up (``make_up``: without digits, without letters, with digits and letters, with capitals
+too).  A token, or what base spans leave of it, becomes a span of its own (kind ``markov``)
+when the log-likelihood ratio of the models says that it is random.  No length is left out:
+tokens too short to reach the threshold under the fitted models are the only ones not scored.
 
 The models are fitted on at most ``SAMPLE`` distinct strings of each label (those with
-the smallest hashes); their table has one entry per pair of alphabet characters, and goes into the
+the smallest hashes) and on constant clean strings (identifiers, dates, paths, rules); their table
+has one entry per pair of alphabet characters, and goes into the
 plan as one literal array.  Positions are code points, ends exclusive.
 
 Defined results: null texts are empty; a table without captured strings gives no markov
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import math
 import string
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,15 +39,28 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=.-"
 TOKEN = "[A-Za-z0-9+/_=-]"
-IDENTIFIER = r"[A-Za-z][A-Za-z_-]{9,}"
 SAMPLE = 20_000
-SMOOTHING = 0.5
-# How many sightings of a character its own counts must have to weigh as much as the overall ones.
+MAKE_UPS = 4
+# Share of a model's characters that is spread over the alphabet, equal in all models.
+UNSEEN = 0.01
+# How many sightings of a character its own counts must have to weigh as much as the overall ones,
+# and as much in one make-up as in all: many, or a lone secret would make itself ordinary.
 BACKOFF = 5.0
+MAKE_UP_BACKOFF = 1000.0
 # Log-likelihood ratio (nats) a token must reach: one secret among a hundred thousand tokens.
 THRESHOLD = math.log(1e5)
 
 
+def _clean_strings() -> list[str]:
+    """Constant strings that are no secrets although they hold hex digits, slashes or repeats."""
+    found = [str(uuid.uuid5(uuid.NAMESPACE_URL, str(k))) for k in range(1000)]
+    days = [f"{1990 + k % 50}-{1 + k % 12:02d}-{1 + k % 28:02d}" for k in range(100)]
+    found += days + [f"{d}/{e}" for d, e in zip(days, days[1:])] + [d.replace("-", "/") for d in days]
+    found += [c * n for c in "-=_/+" for n in (8, 20, 40)]
+    found += ["src/main/java/org/example/App", "usr/local/share/doc/README", "home/user/Documents/Projects/index"]
+    return found + [f"image_{w}x{w * 3 // 4}" for w in range(320, 2000, 16)]
+
+
 def _spans(text: Column, pattern: str, kind: str, accepted: Column | None = None) -> Column:
     """Array of (start, rank, end, kind, value) of the pattern's matches.
 
@@ -100,79 +118,103 @@ def blanked(text: Column, spans: Column) -> Column:
 
 
 def labelled_samples(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(value, random): at most ``sample`` distinct strings of each label."""
+    """(value, random): at most ``sample`` distinct strings of each label, and the constant clean ones."""
     text = text_or_empty(text_col)
-    rest = text  # identifiers are looked for outside the secrets
+    rest = text  # ordinary tokens are looked for outside the secrets
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.when(text.rlike(pattern), F.regexp_replace(rest, pattern, " ")).otherwise(rest)
     parts = []
     for strings, label in (
         (captured(text), 1),
-        (F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), 0),
+        (F.regexp_extract_all(rest, F.lit(TOKEN + "{2,}"), F.lit(0)), 0),
     ):
         values = checkpointed(df.select(F.explode(strings).alias("value")).distinct())
         parts.append(bounded_sample(values, sample, ["value"]).withColumn("random", F.lit(label)))
-    return parts[0].unionByName(parts[1])
+    clean = df.sparkSession.createDataFrame([(v, 0) for v in _clean_strings()], "value string, random int")
+    return parts[0].unionByName(parts[1]).unionByName(clean)
+
+
+def make_up(token: Column) -> Column:
+    """0: no digit; 1: digits, no letter; 2: digits and small letters; 3: digits and capitals."""
+    return (
+        F.when(~token.rlike("[0-9]"), 0).when(token.rlike("[A-Z]"), 3).when(token.rlike("[a-z]"), 2).otherwise(1)
+    )
+
+
+def _log_model(counts: dict[str, int], behind: list[float] | None = None) -> list[float]:
+    """log P(next | char), row by row; backs off to the characters' frequencies, or to the table ``behind``."""
+    size = len(ALPHABET)
+    seen = [sum(counts.get(a + b, 0) for a in ALPHABET) for b in ALPHABET]
+    total = max(1, sum(seen))
+    alone = [(1 - UNSEEN) * n / total + UNSEEN / size for n in seen]
+    rows, strength = [], BACKOFF if behind is None else MAKE_UP_BACKOFF
+    for i, a in enumerate(ALPHABET):
+        after = [counts.get(a + b, 0) for b in ALPHABET]
+        prior = alone if behind is None else [math.exp(x) for x in behind[i * size : (i + 1) * size]]
+        rows += [math.log((n + strength * p) / (sum(after) + strength)) for n, p in zip(after, prior)]
+    return rows
 
 
-def fit(samples: DataFrame) -> list[float] | None:
-    """log P(next | char) under the random model minus under the ordinary one, row by row.
+def fit(samples: DataFrame) -> list[tuple[float, ...]] | None:
+    """log P(next | char) under the random model minus under the ordinary one of each make-up, row by row.
 
-    Each model backs off to its characters' overall frequencies, so that a character that
-    ordinary identifiers hardly ever use counts as evidence whatever precedes it.
+    The models back off to their characters' overall frequencies, so that a character that
+    ordinary tokens hardly ever use counts as evidence whatever precedes it; those of a make-up
+    back off to all ordinary tokens.  A character that no sample has is as likely in all.
     None when one of the labels has no sample.
     """
     chars = F.split("value", "")
     pairs = F.zip_with(F.slice(chars, F.lit(1), F.size(chars) - 1), F.slice(chars, F.lit(2), F.size(chars) - 1), lambda a, b: F.concat(a, b))
     counted = (
-        samples.select("random", F.explode(F.when(F.size(chars) > 1, pairs).otherwise(F.array().cast("array<string>"))).alias("pair"))
-        .groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n"))
+        samples.select("random", make_up(F.col("value")).alias("kind"), F.explode(F.when(F.size(chars) > 1, pairs).otherwise(F.array().cast("array<string>"))).alias("pair"))
+        .groupBy("random", "kind", "pair").agg(F.count(F.lit(1)).alias("n"))
     )
-    counts = {(r["random"], r["pair"]): r["n"] for r in counted.collect()}  # bounded by the alphabet
-    if {label for label, _ in counts} != {0, 1}:
+    found = counted.collect()  # bounded by the alphabet
+    if {r["random"] for r in found} != {0, 1}:
         return None
-    logs = []
-    for label in (1, 0):
-        seen = [sum(counts.get((label, a + b), 0) for a in ALPHABET) for b in ALPHABET]
-        total = sum(seen) + SMOOTHING * len(ALPHABET)
-        alone = [(n + SMOOTHING) / total for n in seen]
-        rows = []
-        for a in ALPHABET:
-            after = [counts.get((label, a + b), 0) for b in ALPHABET]
-            rows += [math.log((n + BACKOFF * p) / (sum(after) + BACKOFF)) for n, p in zip(after, alone)]
-        logs.append(rows)
-    return [r - o for r, o in zip(*logs)]
+    tables: dict = {}
+    for r in found:
+        for kind in ("all", r["kind"]):
+            table = tables.setdefault((r["random"], kind), {})
+            table[r["pair"]] = table.get(r["pair"], 0) + r["n"]
+    random, ordinary = _log_model(tables[1, "all"]), _log_model(tables[0, "all"])
+    made = [_log_model(tables.get((0, kind), {}), ordinary) for kind in range(MAKE_UPS)]
+    return [tuple(r - o for o in each) for r, *each in zip(random, *made)]
 
 
-def shortest(model: list[float], threshold: float) -> int | None:
-    """The length below which no token can reach the threshold (None: no length can)."""
-    return max(2, 1 + math.ceil(threshold / max(model))) if max(model) > 0 else None
+def shortest(model: list[tuple[float, ...]], threshold: float) -> list[int | None]:
+    """The length below which no token of a make-up can reach the threshold (None: no length can)."""
+    steps = [max(entry[kind] for entry in model) for kind in range(MAKE_UPS)]
+    return [1 + math.ceil(threshold / step) if step > 0 else None for step in steps]
 
 
-def log_ratio(token: Column, model: list[float]) -> Column:
+def log_ratio(token: Column, model: list[tuple[float, ...]]) -> Column:
     """Log-likelihood ratio of a token (random over ordinary) in nats."""
-    table = F.array(*[F.lit(x) for x in model])
+    size = len(ALPHABET)
+    numbers = ",".join(repr(entry[kind]) for kind in range(MAKE_UPS) for entry in model)
+    table = F.split(F.lit(numbers), ",").cast("array<double>")  # folded into one literal
+    first = make_up(token) * size * size
     index = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     n = F.size(index) - 1
-    steps = F.zip_with(F.slice(index, F.lit(1), n), F.slice(index, F.lit(2), n), lambda a, b: table[a * len(ALPHABET) + b])
-    return F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + x)
+    steps = F.zip_with(F.slice(index, F.lit(1), n), F.slice(index, F.lit(2), n), lambda a, b: a * size + b)
+    return F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + F.get(table, first + x))
 
 
 # --------------------------------------------------------------- scanning
 
 
-def scan(df: DataFrame, model: list[float] | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def scan(df: DataFrame, model: list[tuple[float, ...]] | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``df`` in a struct ``_row``, with ``base`` and ``spans`` (all spans, sorted)."""
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), text_or_empty(text_col).alias("_text"))
     based = rows.withColumn("base", base_spans(F.col("_text")))
     if model is None:
         return based.withColumn("spans", F.col("base"))
-    length = shortest(model, threshold)
-    if length is None:
+    lengths = shortest(model, threshold)
+    if not any(lengths):
         return based.withColumn("spans", F.col("base"))
     # what base spans leave of a token is a token
     free = based.withColumn("_free", F.when(F.size("base") > 0, blanked(F.col("_text"), F.col("base"))).otherwise(F.col("_text")))
-    candidate = f"{TOKEN}{{{length},}}"
+    candidate = f"{TOKEN}{{{max(2, min(n for n in lengths if n))},}}"
     random = F.transform(
         F.regexp_extract_all("_free", F.lit(candidate), F.lit(0)), lambda t: log_ratio(t, model) >= threshold
     )
@@ -205,11 +247,11 @@ def redacted(text: Column, spans: Column, mark: str | None = "[SECRET]") -> Colu
     return F.when(F.size(spans) > 0, cleaned).otherwise(text)
 
 
-def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[float] | None:
+def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[tuple[float, ...]] | None:
     return fit(labelled_samples(df, text_col, sample))
 
 
-def redact(df: DataFrame, model: list[float] | None, text_col: str = "text") -> DataFrame:
+def redact(df: DataFrame, model: list[tuple[float, ...]] | None, text_col: str = "text") -> DataFrame:
     """``df`` with the secrets in ``text_col`` replaced; texts without secrets stay as they are."""
     found = scan(df, model, text_col)
     clean = redacted(F.col("_text"), F.col("spans"))

@@ -118,6 +118,10 @@ def test_markov_adds_random_strings_and_leaves_identifiers(frame):
     assert got[4] == expected_base(f"token={fresh}")  # covered by the pattern: no second span
 
 
+CLEAN = ["3f2504e0-4f89-41d3-9a0c-0305e82c3301", "2023-04-15/2023-04-18", "=" * 20, "-" * 20, "_" * 24,
+         "user_profile_image_1024x768", "src/main/java/org/example/App"]
+
+
 @pytest.fixture(scope="module")
 def prose_model(frame):
     rng = random.Random(10)
@@ -143,6 +147,19 @@ def test_short_random_strings_and_the_rest_of_split_tokens_are_found(frame, pros
     assert len(got[3]) == 1 and got[3][0].endswith(rest)
 
 
+def test_clean_tokens_with_digits_slashes_and_rules_stay(frame, prose_model):
+    assert markov_spans(frame, prose_model, [f"see {t} there" for t in CLEAN]) == [[]] * len(CLEAN)
+    df = frame([(0, " ".join(CLEAN))])
+    assert secrets.redact(df, prose_model).first().text == " ".join(CLEAN)
+
+
+def test_unseen_characters_weigh_nothing(spark):
+    rows = [("aXbX" * 4, 1)] + [(w, 0) for w in ("plain", "words", "of", "several", "letters")] * 50
+    model = secrets.fit(spark.createDataFrame(rows, "value string, random int"))
+    at = secrets.ALPHABET.index("+")
+    assert model[at * len(secrets.ALPHABET) + at] == pytest.approx((0, 0, 0, 0), abs=1e-9)
+
+
 def test_redaction_keeps_everything_else(frame):
     texts = [(1, "a token=abcdef123 b"), (2, "clean text"), (3, None), (4, "é🙂 token=" + "0123456789abcdef" * 3 + " z " + "f" * 30)]
     df = frame(texts, clashing=True)
