@@ -4,8 +4,8 @@ The unit that is placed is a group of equal texts.  Billions of groups cannot be
 one by one, so they become a bounded number of items:
 
 * heavy groups (over 1/64 of a shard in any of the three measures; at most 64 x shards
-  per measure) are items of their own.  A group over half a shard is split into parts by
-  a hash of the id, because no shard could take it whole;
+  per measure) are items of their own, whole unless their bytes exceed a shard's capacity.
+  Then no shard can take the group, and its rows are dealt evenly to the fewest parts that fit;
 * all other groups fall into ``cells`` hash cells.
 
 The driver sees only the items' totals.  Items are placed largest first, each into the
@@ -31,7 +31,6 @@ from tarmac.llm.common import checkpointed, text_or_empty
 SHARDS = 24
 CELLS = 1 << 15
 HEAVY_SHARE = 1 / 64
-SPLIT_SHARE = 1 / 2
 ROWS_PER_SUBDIVISION = 100_000
 ROW_BYTES = 8
 
@@ -60,6 +59,23 @@ def pack_vectors(weights: np.ndarray, bins: int, law: int = 0) -> np.ndarray:
     return chosen
 
 
+def _dealt(split: DataFrame) -> DataFrame:
+    """Rows of split groups with their ``_item``: runs of equal length of a group's numbered rows.
+
+    A group's rows are numbered within the partitions that they were read in (the upper bits of ``_n``).
+    """
+    placed = split.withColumn("_in", F.shiftright("_n", 33))
+    counts = placed.groupBy("_group", "_in").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_group").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_group", "_in", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    local = Window.partitionBy("_group", "_in").orderBy("_n")
+    return (
+        placed.withColumn("_local", F.row_number().over(local) - 1)
+        .join(before, ["_group", "_in"])
+        .withColumn("_item", F.col("_item0") + F.expr("(_before + _local) * _parts div _of"))
+    )
+
+
 def shard(
     df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS
 ) -> DataFrame:
@@ -83,20 +99,21 @@ def shard(
     capacity = {m: max(1.0, (total[m] or 0) / shards) for m in MEASURES}
     share = F.greatest(*[F.col(m) / F.lit(capacity[m]) for m in MEASURES])
     # at most len(MEASURES) * shards / HEAVY_SHARE groups can be heavy
-    heavy = [
-        (g["_group"], int(np.ceil(g["share"] / SPLIT_SHARE)))
-        for g in groups.select("_group", share.alias("share")).where(F.col("share") > HEAVY_SHARE).collect()
-    ]
+    heavy = groups.where(share > HEAVY_SHARE).collect()
     numbered, item = [], cells
-    for group, parts in sorted(heavy):
-        numbered.append((group, item, parts))
+    for g in sorted(heavy, key=lambda g: g["_group"]):
+        fitting = max(1, int(capacity["size"] // (g["size"] // g["one"])))  # rows of this text that a shard takes
+        parts = 1 if g["size"] <= capacity["size"] else -(-g["one"] // fitting)
+        numbered.append((g["_group"], item, parts, g["one"]))
         item += parts
-    heavy_table = spark.createDataFrame(numbered, "_group long, _item0 long, _parts long")
-    own = F.col("_item0") + F.pmod(F.xxhash64("_id", "_n"), F.col("_parts"))
-    itemised = rows.join(F.broadcast(heavy_table), "_group", "left").select(
-        "_id", "size", "tokens", "one", "text_crc32", "_n",
-        F.coalesce(own, F.pmod("_group", F.lit(cells))).alias("_item"),
+    heavy_table = spark.createDataFrame(numbered, "_group long, _item0 long, _parts long, _of long")
+    joined = rows.join(F.broadcast(heavy_table), "_group", "left")
+    columns = ("_id", "size", "tokens", "one", "text_crc32", "_n")
+    itemised = joined.where(F.coalesce("_parts", F.lit(1)) == 1).select(
+        *columns, F.coalesce("_item0", F.pmod("_group", F.lit(cells))).alias("_item")
     )
+    if any(parts > 1 for _, _, parts, _ in numbered):
+        itemised = itemised.unionByName(_dealt(joined.where("_parts > 1")).select(*columns, "_item"))
     items = itemised.groupBy("_item").agg(*[F.sum(m).alias(m) for m in MEASURES]).orderBy("_item").collect()
     weights = np.array([[r[m] for m in MEASURES] for r in items], float).reshape(-1, len(MEASURES))
     chosen = pack_vectors(weights, shards)

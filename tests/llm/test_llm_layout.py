@@ -191,6 +191,19 @@ def test_sharding_laws(frame, monkeypatch, rows_per_subdivision):
     assert sharding.shard(frame([])).collect() == []
 
 
+def test_only_groups_over_a_shards_bytes_are_split(frame):
+    texts = ["large " * 150] * 30 + [""] * 200 + ["whole " * 100] * 9 + [f"text {i} " * 40 for i in range(60)]
+    rows = sharding.shard(frame(list(enumerate(texts))), shards=4).collect()
+    sizes = {t: len(t) + sharding.ROW_BYTES for t in set(texts)}
+    capacity = sum(sizes[t] for t in texts) / 4
+    placed = {t: collections.Counter(r.shard for r in rows if texts[r.doc_id] == t) for t in set(texts)}
+    large = "large " * 150
+    fitting = int(capacity // sizes[large])
+    assert 30 * sizes[large] > capacity and 200 > len(texts) / 4 and 9 * sizes["whole " * 100] <= capacity
+    assert len(placed[large]) == -(-30 // fitting) and max(placed[large].values()) <= fitting
+    assert all(len(s) == 1 for t, s in placed.items() if t != large)
+
+
 def test_groups_of_equal_texts_stay_together(frame):
     pairs = [(i, f"text {i // 4} " * (1 + i // 4 % 9)) for i in range(1200)]
     rows = sharding.shard(frame(pairs), shards=6).collect()
