@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
+    embedding_whitening,
     exact_dedup,
+    language_id,
     language_model,
     ngram_join,
     packing,
     secrets,
     sentencepiece_scan,
     sharding,
+    token_alignment,
     toxicity,
     vector_forest,
     warc_revisits,
@@ -214,3 +217,47 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("trained_on")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@_query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language_id.train(docs.where(~held_out))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        F.col("_row.doc_id").alias("doc_id"),
+        (fold(F.col("_row.doc_id"), 3) == 1).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
+@_query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths, digest=True)
+    return aligned.select(
+        F.col("_row.doc_id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
+@_query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = embedding_whitening.fit(rows)
+    whitened = embedding_whitening.transform(rows.select("vec_id", "embedding"), model)
+    error = embedding_whitening.identity_error(whitened, len(model.eigenvalues))
+    explained = F.array(*[F.lit(float(v)) for v in model.explained]).cast("array<double>")
+    return whitened.select("_row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.rows).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
