@@ -102,6 +102,10 @@ def links(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]
             end_b += len(b_bytes[b[j]])
 
 
+# What a text without tokens has.
+NOTHING = (0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 class Aligner:
     """Both tokenizers, their ids' bytes, and the units met so far."""
 
@@ -183,9 +187,11 @@ class Aligner:
 
     def whole_groups(self, a: list[int], b: list[int]) -> tuple[list[str], list[int]]:
         """Groups' texts and link codes of tokens that cover the same bytes."""
-        groups, pairs = [], []
         if not a:
-            return groups, pairs
+            return [], []
+        if len(a) == 1 or len(b) == 1:  # every token of the other lies in it
+            return [group_text(a, b)], [y << 32 | x for x in a for y in b]
+        groups, pairs = [], []
         size_a, size_b = self.a_sizes, self.b_sizes
         i = j = first_i = first_j = 0
         last, end_a, end_b = len(a), size_a[a[0]], size_b[b[0]]
@@ -216,8 +222,7 @@ class Aligner:
         if not self.breaks:
             return [" " + text]
         pieces = text.replace("\n", " \n").split(" ")  # pieces that start with a line break had no space there
-        known = self.known
-        if all(p in known or self._whole(p) for p in pieces):
+        if all(map(self._whole, set(pieces).difference(self.known))):
             return pieces
         out, current, ended = [], None, False
         for p in pieces:
@@ -332,11 +337,19 @@ class Aligner:
             else:
                 self._learn_tokens(key, self.tokens(self.full(key)))
         ordered = list(words)
+        known, groups, pairs, sizes, b_bytes = self.known, self.groups, self.pairs, self.sizes, self.b_bytes
         for word, b in zip(ordered, self.b.encode(ordered, num_threads=1) if ordered else ()):
             a = self._letters(word)
             raw = word.encode()
-            same = b"".join([self.b_bytes[k] for k in b]) == b" " + raw
-            self._learn_tokens(word, (a, b) if same else None)
+            known[word] = at = len(sizes)
+            self.held_chars += len(word)
+            if b"".join([b_bytes[k] for k in b]) != b" " + raw:
+                self.bad.add(at)
+                a, b = [], []
+            texts, codes = self.whole_groups(a, b)
+            groups.append(";".join(texts))
+            pairs.append(tuple(codes))
+            sizes.append((len(a), len(b), len(texts)))
         for key in marked:
             at = self.known[key[:-1]]
             more, pairs, sizes = self.marks[key[-1]]
@@ -345,32 +358,35 @@ class Aligner:
             n = self.sizes[at]
             self._add(key, self.groups[at] + more, self.pairs[at] + pairs, (n[0] + sizes[0], n[1] + sizes[1], n[2] + sizes[2]))
 
-    def remembered(self, keys: list[str]) -> list[int]:
-        """Numbers of units, learnt where they are new."""
-        missing = set(keys).difference(self.known)
+    def remember(self, texts: list[list[str]]) -> None:
+        """Learn the new units of some texts; they are known until the next call."""
+        missing = set().union(*texts).difference(self.known)
         if missing:
             if len(self.sizes) + 2 * len(missing) > self.cache_entries or self.held_chars > self.cache_chars:
                 self.known.clear()
                 self.bad.clear()
                 self.groups, self.pairs, self.sizes, self.held_chars = [], [], [], 0
-                missing = set(keys)
+                missing = set().union(*texts)
             self._learn(missing)
-        return list(map(self.known.__getitem__, keys))
 
-    def align(self, text: str) -> tuple[int, int, int, str, np.ndarray, np.ndarray] | None:
-        """(tokens of either, groups, the groups' text, distinct pair codes, their links); None without tokens."""
-        if not text:
-            return None
-        units = self.remembered(self.units(text))
-        if self.bad and not self.bad.isdisjoint(units):
-            return None
-        sizes = list(map(self.sizes.__getitem__, units))
-        pairs = np.fromiter(chain.from_iterable(map(self.pairs.__getitem__, units)), np.int64)
-        codes, counts = np.unique(pairs, return_counts=True)
-        return (
-            sum([s[0] for s in sizes]), sum([s[1] for s in sizes]), sum([s[2] for s in sizes]),
-            ";".join(map(self.groups.__getitem__, units)), codes, counts,
-        )
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+        """(tokens of either, groups, the groups' text, distinct pair codes, their links) of each text."""
+        keys = [self.units(text) if text else [] for text in texts]
+        self.remember(keys)
+        out = []
+        for own in keys:
+            units = list(map(self.known.__getitem__, own))
+            if not units or (self.bad and not self.bad.isdisjoint(units)):
+                out.append(NOTHING)
+                continue
+            sizes = list(map(self.sizes.__getitem__, units))
+            pairs = np.fromiter(chain.from_iterable(map(self.pairs.__getitem__, units)), np.int64)
+            pairs.sort()
+            first = np.flatnonzero(np.diff(pairs, prepend=-1))
+            counts = np.diff(first, append=len(pairs))
+            groups = ";".join(map(self.groups.__getitem__, units))
+            out.append((*map(sum, zip(*sizes)), groups, pairs[first], counts))
+        return out
 
     # -- byte ranges
 
@@ -452,9 +468,6 @@ def _stats_arrays(found: list[tuple], digest: bool) -> list[pa.Array]:
     return [*[pa.array(v, pa.int64()) for v in whole], pa.array(text, pa.string()), *[pa.array([f[k] for f in found], _LONGS) for k in (4, 5)]]
 
 
-_NOTHING = (0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
 def _aligned(rows: DataFrame, path_a: str, path_b: str, digest: bool, size: int) -> DataFrame:
     """Short texts with their results, very long ones as rows of byte ranges."""
     kind = rows.schema["_row"].dataType.simpleString()
@@ -469,7 +482,7 @@ def _aligned(rows: DataFrame, path_a: str, path_b: str, digest: bool, size: int)
                 long = [own.breaks and len(t) > 2 * size for t in texts]
                 short = pa.array([k for k, l in enumerate(long) if not l], pa.int64())
                 if len(short):
-                    found = [own.align(texts[k]) or _NOTHING for k in short.to_pylist()]
+                    found = own.align([texts[k] for k in short.to_pylist()])
                     blank = [pa.nulls(len(short), t) for t in (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())]
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(short), part.column(1).take(short), *_stats_arrays(found, digest), *blank], names=names
@@ -559,7 +572,7 @@ def _finished(fragments: DataFrame, path_a: str, path_b: str, digest: bool) -> D
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                found = _NOTHING
+                found = NOTHING
                 if r["ok"]:
                     whole = own.finished(Fragment(r["closed"], (r["pa"], r["pb"]), r["groups"], [], ([], [])))
                     codes, counts = _summed(
