@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import ingest as IN
+from tarmac.operators import rejects as RJ
 from tarmac.operators import replay as RP
 from tarmac.operators import summaries as SU
 from tarmac.plans import oracle as O
@@ -23,9 +24,10 @@ from tarmac.plans.q_batch import (
 )
 from tarmac.plans.registry import ORACLES, register
 from tarmac.schema import CURATED_COLUMNS, STREAM_SCHEMA
-from tarmac.session import work_dir
+from tarmac.session import Fixtures, remove_folder, work_dir
 from tarmac.sinks import writers as W
 from tarmac.sources import files as FS
+from tarmac.sources import layouts as LA
 from tarmac.sources.fixtures import flights, raw_flights_text
 
 
@@ -106,6 +108,118 @@ def q_src4_curated(spark, sf):
     return FS.load_flights(spark, path, work_dir(spark, "no_raw_here")).select(*CURATED_COLUMNS)
 
 
+# What three feeds call and where they put the columns; the third has no distance.
+FEEDS = (
+    {},
+    {"CANCELLATION_CODE": "cancellation_code", "AIRLINE": "OP_CARRIER", "DEST": "dest", "ORIGIN": "origin", "FL_DATE": "flight_date",
+     "DISTANCE": "Distance", "ARR_DELAY": "ARR_DELAY", "CRS_DEP_TIME": "crs_dep_time", "DEP_DELAY": "dep_delay"},
+    {"FL_DATE": "FL_DATE", "OP_CARRIER": "AIRLINE", "AIRLINE": "OP_CARRIER", "ORIGIN": "ORIGIN", "DEST": "DEST", "CRS_DEP_TIME": "CRS_DEP_TIME",
+     "DEP_DELAY": "DEP_DELAY", "ARR_DELAY": "ARR_DELAY", "CANCELLATION_CODE": "CANCELLATION_CODE"},
+)
+
+
+def _hour() -> F.Column:
+    return F.floor(F.col("CRS_DEP_TIME").cast("int") / 100)  # l_orderkey % 24
+
+
+def mixed_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The raw flights as three feeds of different headers, chosen by l_orderkey % 3."""
+    path = work_dir(spark, "mixed_csv")
+    raw = raw_flights_text(spark, sf_dir)
+    for k, columns in enumerate(FEEDS):
+        rows = raw.where(_hour() % 3 == k)
+        if k == 2:
+            # a carrier number beside the carrier: AIRLINE wins over OP_CARRIER
+            rows = rows.withColumn("OP_CARRIER", F.lit("999"))
+            columns = {"FL_DATE": "FL_DATE", "OP_CARRIER": "OP_CARRIER", **{c: c for c in raw.columns if c not in ("FL_DATE", "DISTANCE")}}
+        columns = columns or {c: c for c in raw.columns}
+        write_raw_csv(rows.select(*[F.col(c).alias(n) for c, n in columns.items()]), f"{path}/feed{k}")
+    return path
+
+
+@register(
+    "src1_mixed_headers",
+    O.oracle("""SELECT DISTINCT * REPLACE (CASE WHEN floor(crs_dep_time / 100) % 3 <> 2 THEN distance END AS distance) FROM cleaned"""),
+)
+def q_src1_mixed(spark, sf):
+    """One folder, three header layouts: other order, other spelling, a missing column."""
+    raw = LA.read_mixed_csv(spark, mixed_csv_folder(spark, sf))
+    return IN.curated_projection(IN.clean(raw), CURATED_COLUMNS)
+
+
+_LOADS = Fixtures(keep=2)
+
+
+def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The raw flights with broken records, chosen by the departure time."""
+    raw = raw_flights_text(spark, sf_dir)
+    kind = F.col("CRS_DEP_TIME").cast("int") % 11
+    spoilt = {
+        "FL_DATE": (0, F.lit("2001-02-30")), "AIRLINE": (1, F.lit("  ")), "DISTANCE": (2, F.lit("12 miles")),
+        "ARR_DELAY": (3, F.lit("late")), "DEST": (4, F.lit(None).cast("string")),
+    }
+    cells = [F.when(kind == spoilt[c][0], spoilt[c][1]).otherwise(F.col(c)) if c in spoilt else F.col(c) for c in raw.columns]
+    texts = [F.coalesce(c, F.lit("")) for c in cells]
+    line = (F.when(kind == 5, F.concat_ws(",", *texts[:-2])).when(kind == 6, F.concat_ws(",", *texts, F.lit("one more")))
+            .otherwise(F.concat_ws(",", *texts)))
+    path = work_dir(spark, "broken_csv")
+    (raw.select(line.alias(",".join(raw.columns))).write.option("header", True).option("sep", "\u0001").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+KIND_SQL = """
+kinds AS (
+    SELECT *, ((l_orderkey % 24) * 100 + (l_linenumber * 7) % 60) % 11 AS kind,
+           CASE WHEN l_orderkey % 100 = 0 THEN 2 ELSE 1 END AS copies FROM base
+)"""
+
+
+@register(
+    "src1_reject_counts",
+    O.oracle(
+        """
+        SELECT CASE kind WHEN 0 THEN 'bad_flight_date' WHEN 1 THEN 'no_airline' WHEN 2 THEN 'bad_distance' WHEN 3 THEN 'bad_arr_delay'
+                         WHEN 4 THEN 'no_dest' WHEN 5 THEN 'fields_missing' WHEN 6 THEN 'fields_extra' ELSE 'accepted' END AS reason,
+               CAST(SUM(copies) AS BIGINT) AS n
+        FROM kinds GROUP BY 1
+        UNION ALL SELECT 'delivered', CAST(SUM(copies) AS BIGINT) FROM kinds""",
+        KIND_SQL,
+    ),
+)
+def q_src1_rejects(spark, sf):
+    """Every delivered record is accepted or rejected for a reason."""
+    return RJ.counts_by_reason(RJ.tag_rejects(LA.read_mixed_csv(spark, broken_csv_folder(spark, sf), corrupt=True)))
+
+
+@register(
+    "src1_load_with_rejects",
+    O.oracle(
+        """
+        SELECT 'curated' AS part, COUNT(*) AS n FROM kinds WHERE kind > 6
+        UNION ALL SELECT 'duplicates', CAST(COALESCE(SUM(copies - 1), 0) AS BIGINT) FROM kinds WHERE kind > 6
+        UNION ALL SELECT 'rejected', CAST(COALESCE(SUM(copies), 0) AS BIGINT) FROM kinds WHERE kind <= 6""",
+        KIND_SQL,
+    ),
+)
+def q_src1_load(spark, sf):
+    """The curated table and the rejects beside it, read back: together they are what was delivered."""
+
+    def make():
+        source, curated, rejects = broken_csv_folder(spark, sf), work_dir(spark, "accepted"), work_dir(spark, "rejects")
+        counts = RJ.load_with_rejects(LA.read_mixed_csv(spark, source, corrupt=True), curated, rejects, CURATED_COLUMNS)
+        remove_folder(spark, source)
+        return curated, rejects, counts
+
+    curated, rejects, counts = _LOADS.get(
+        spark, sf, "rejects", make, lambda s, made: [remove_folder(s, folder) for folder in made[:2]])
+    written = [FS.read_curated(spark, curated).select(F.lit("curated").alias("part")),
+               spark.read.parquet(rejects).select(F.lit("rejected").alias("part"))]
+    duplicates = spark.range(counts["duplicates"]).select(F.lit("duplicates").alias("part"))
+    rows = written[0].unionByName(written[1]).unionByName(duplicates)
+    return rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
 BY_AIRLINE_SCHEMA = "airline string, avg_arr_delay double, n long"
 
 

@@ -8,6 +8,9 @@ running aggregate equals the batch aggregate, which is its oracle.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -203,3 +206,48 @@ def q_agg16_counts(spark, sf):
 @register("agg16_live_predicted_rate")
 def q_agg16(spark, sf):
     return J.live_predicted_rate(FS.read_predictions(spark, predictions_folder(spark, sf)))
+
+
+def live_state_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The prediction folder followed by the live-table stream; returns its state folder."""
+
+    def make():
+        out, ckpt = work_dir(spark, "live_state"), work_dir(spark, "live_state_ckpt")
+        J.run_live_tables(spark, predictions_folder(spark, sf_dir), out, ckpt)
+        remove_folder(spark, ckpt)
+        return out
+
+    return _RUNS.get(spark, sf_dir, "live", make, remove_folder)
+
+
+@register("agg15_live_incremental", O.oracle(AVG_BY_AIRLINE_SQL))
+def q_agg15_live(spark, sf):
+    """The live delay table from per-batch sums that a second stream keeps: no prediction is read again."""
+    return J.live_delay_from_state(spark, live_state_folder(spark, sf))
+
+
+@register(
+    "agg16_live_rate_step",
+    O.oracle("""SELECT airline, AVG(CASE WHEN dep_delay > 15 THEN 1.0 ELSE 0.0 END) AS predicted_delayed_rate,
+                       AVG(CASE WHEN dep_delay > 15 THEN 1.0 ELSE 0.0 END) AS mean_delay_probability, COUNT(*) AS n
+                FROM flights GROUP BY airline"""),
+)
+def q_agg16_step(spark, sf):
+    """Rates of a streamed model whose every prediction is known: a tree on a step of the departure delay."""
+
+    def make():
+        data = flights(spark, sf).select("dep_delay", (F.col("dep_delay") > 15).cast("double").alias("y"))
+        tree = RandomForestClassifier(labelCol="y", numTrees=1, maxDepth=2, maxBins=64, seed=1, bootstrap=False,
+                                      featureSubsetStrategy="all")
+        model = Pipeline(stages=[VectorAssembler(inputCols=["dep_delay"], outputCol="features"), tree]).fit(data)
+        src = replay_folder(spark, sf)
+        scored, state = work_dir(spark, "step_scores"), work_dir(spark, "step_state")
+        checkpoints = [work_dir(spark, "step_ckpt") for _ in range(2)]
+        stream = J.normalise_stream(J.read_replay_stream(spark, src, STREAM_SCHEMA, files_per_trigger(spark, src)))
+        J.run_scoring(stream, model, scored, checkpoints[0], keep=SCORED_COLUMNS)
+        J.run_live_tables(spark, scored, state, checkpoints[1])
+        for folder in (scored, *checkpoints):
+            remove_folder(spark, folder)
+        return state
+
+    return J.live_rate_from_state(spark, _RUNS.get(spark, sf, "step", make, remove_folder))

@@ -91,6 +91,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there."""
+    target, fs = _path(spark, path)
+    fs.mkdirs(target)
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create a file that must not exist yet: one atomic operation of the file system."""
+    target, fs = _path(spark, path)
+    out = fs.create(target, False)
+    out.writeBytes("1")
+    out.close()
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none when it does not exist."""
     target, fs = _path(spark, path)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import STREAM_COLUMNS
-from tarmac.session import remove_folder
 from tarmac.sources.files import snapshot_ids
+from tarmac.sources.snapshots import commit, remove_batch, write_version
 
 
 def write_curated(
@@ -62,15 +62,15 @@ def write_replay_files(plan: DataFrame, path: str, columns=STREAM_COLUMNS) -> No
 
 
 def write_batch_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
-    """Overwrite ``path/batch=<id>``: replaying a micro-batch rewrites the same folder."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+    """Replace batch ``batch_id`` of ``path``; readers see the old rows until the new ones are committed."""
+    commit(df.sparkSession, path, write_version(df, path, batch_id))
 
 
 def drop_old_snapshots(spark: SparkSession, path: str, newest: int, keep: int) -> None:
-    """Remove the ``batch=N`` folders older than the ``keep`` newest ones."""
+    """Remove the committed batches older than the ``keep`` newest ones."""
     for batch_id in snapshot_ids(spark, path):
         if batch_id <= newest - keep:
-            remove_folder(spark, f"{path.rstrip('/')}/batch={batch_id}")
+            remove_batch(spark, path, batch_id)
 
 
 def write_predictions_sample(pred: DataFrame, path: str, limit: int, key_cols, label: str) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tarmac.operators.ingest import arrived, clean
 from tarmac.schema import REQUIRED_FOR_TRAINING
-from tarmac.session import list_folder
+from tarmac.sources.snapshots import committed, read_committed
 
 
 class NoInputError(FileNotFoundError):
@@ -32,7 +32,8 @@ def read_raw_csv(
 
     ``path`` may be a folder, a glob or a list of them.  Leading / trailing
     blanks are kept (cleaning trims the codes that need it).  All files must have the
-    same header; a file with another one fails the read.
+    same header; a file with another one fails the read (``layouts.read_mixed_csv`` takes
+    folders of several headers).
     """
     reader = (
         spark.read.option("header", True)
@@ -94,13 +95,17 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def read_predictions(spark: SparkSession, path: str, ignore_corrupt: bool = False) -> DataFrame:
-    """All ``batch=N`` prediction folders as one table with a ``batch`` column.
+    """All committed prediction batches as one table with a ``batch`` column.
 
-    A damaged file fails the read unless ``ignore_corrupt`` asks to leave its rows out.
+    Batches being written are not seen.  A damaged file fails the read unless
+    ``ignore_corrupt`` asks to leave its rows out.
     """
-    return spark.read.option("ignoreCorruptFiles", ignore_corrupt).parquet(path)
+    batches = committed(spark, path)
+    if not batches:
+        raise NoInputError(f"no committed batch at {path}")
+    return read_committed(spark, path, batches, ignore_corrupt)
 
 
 def snapshot_ids(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the ``batch=N`` folders below ``path``, ascending (a folder listing, no data)."""
-    return sorted(int(n.split("=")[1]) for n in list_folder(spark, path) if n.startswith("batch=") and n[6:].isdigit())
+    """Numbers of the committed batches below ``path``, ascending (a folder listing, no data)."""
+    return [c.batch for c in committed(spark, path)]

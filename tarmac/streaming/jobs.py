@@ -7,13 +7,15 @@
                            one row per airline (bounded by the number of
                            airlines, not by time).
 * ``run_snapshots``        ``foreachBatch`` writes each complete result to
-                           ``batch=<id>`` (overwrite: a replayed micro-batch
-                           rewrites its own folder, so the sink is idempotent).
+                           ``batch=<id>`` and commits it (a replayed micro-batch
+                           replaces its own rows, so the sink is idempotent).
 * ``run_scoring``          stateless per-micro-batch model scoring, empty batches
                            skipped, predictions appended as ``batch=<id>``; rows
                            that cannot be scored stay with NULL outputs.
-* ``latest_snapshot``      newest ``batch=N`` of a snapshot folder, found by listing;
+* ``latest_snapshot``      newest committed batch of a snapshot folder, found by listing;
                            one folder is read.
+* ``run_live_tables``      a second stream, over the commits of a prediction folder:
+                           per-airline sums of each batch, read once.
 
 Triggers: ``availableNow`` drains what is there in rate-limited micro-batches
 and stops (tests, backfills), without any time limit; a processing-time interval runs
@@ -23,6 +25,7 @@ continuously.  The rate is the caller's: files or bytes per trigger.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -36,7 +39,9 @@ from tarmac.functions.columns import parse_date_multi, to_double
 from tarmac.operators.ingest import coalesce_spellings, drop_null_required, fill_missing_derived
 from tarmac.schema import REQUIRED_FOR_STREAM, STREAM_SCHEMA
 from tarmac.sinks.writers import drop_old_snapshots, write_batch_snapshot
-from tarmac.sources.files import NoInputError, snapshot_ids
+from tarmac.session import make_folder
+from tarmac.sources.files import NoInputError
+from tarmac.sources.snapshots import COMMITS, committed, parse_marker, read_committed
 
 
 def read_replay_stream(
@@ -227,14 +232,88 @@ def run_scoring(
 
 
 def latest_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Rows of the newest ``batch=N`` folder (the current complete result).
+    """Rows of the newest committed batch (the current complete result).
 
-    The newest number comes from the folder listing; only its folder is read.
+    The newest number comes from the listing of commits; only its folder is read.
     """
-    ids = snapshot_ids(spark, out_dir)
-    if not ids:
+    batches = committed(spark, out_dir)
+    if not batches:
         raise NoInputError(f"no snapshot at {out_dir}")
-    return spark.read.parquet(f"{out_dir.rstrip('/')}/batch={ids[-1]}").withColumn("batch", F.lit(ids[-1]))
+    return read_committed(spark, out_dir, batches[-1:]).withColumn("batch", F.lit(batches[-1].batch))
+
+
+# --- live tables, kept up to date by a stream over the commits of a prediction folder ---
+
+# fixed: the columns of Spark's binary file source
+_MARKER_FILE = "path string, modificationTime timestamp, length long, content binary"
+LIVE_PARTIAL = ("airline", "n", "n_delay", "sum_delay", "n_pred", "sum_pred", "n_prob", "sum_prob")
+
+
+def live_partial(predictions: DataFrame) -> DataFrame:
+    """Counts and sums per airline from which both live tables follow; those of disjoint rows add up."""
+    def pair(name: str, c: str):
+        return [F.count(c).alias(f"n_{name}"), F.sum(c).alias(f"sum_{name}")]
+
+    return predictions.groupBy("airline").agg(
+        F.count(F.lit(1)).alias("n"), *pair("delay", "arr_delay"), *pair("pred", "pred_delayed"), *pair("prob", "p_delayed"))
+
+
+def run_live_tables(
+    spark: SparkSession,
+    predictions_dir: str,
+    state_dir: str,
+    checkpoint_dir: str,
+    available_now: bool = True,
+    processing_time: str = "10 seconds",
+    commits_per_trigger: int = 1000,
+) -> StreamingQuery:
+    """Follow a prediction folder: each newly committed batch is read once and reduced to one row per airline.
+
+    The stream's source is the folder of commit markers, so batches still being written are never
+    read, and a batch that is committed anew replaces its own contribution (state batch N
+    stands for prediction batch N).  Running it twice on a marker gives the same state.
+    """
+    folder = f"{predictions_dir.rstrip('/')}/{COMMITS}"
+    make_folder(spark, folder)  # the stream may start before the first commit
+    markers = (spark.readStream.format("binaryFile").schema(_MARKER_FILE).option("maxFilesPerTrigger", commits_per_trigger)
+               .option("pathGlobFilter", "batch=*").option("ignoreMissingFiles", True).load(folder).select("path"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        named = {parse_marker(unquote(r["path"]).rsplit("/", 1)[-1]) for r in batch.collect()}  # at most commits_per_trigger names
+        current = {c.batch: c for c in committed(session, predictions_dir)}
+        for batch_number in sorted({c.batch for c in named if c} & set(current)):
+            rows = read_committed(session, predictions_dir, [current[batch_number]])
+            # one row per airline
+            write_batch_snapshot(live_partial(rows).coalesce(1), state_dir, batch_number)
+
+    writer = markers.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(write)
+    return _finish(_trigger(writer, available_now, processing_time).start(), available_now)
+
+
+def _live_totals(spark: SparkSession, state_dir: str) -> DataFrame:
+    batches = committed(spark, state_dir)
+    if not batches:
+        raise NoInputError(f"no live state at {state_dir}")
+    rows = read_committed(spark, state_dir, batches)
+    return rows.groupBy("airline").agg(*[F.sum(c).alias(c) for c in LIVE_PARTIAL[1:]])
+
+
+def _mean(name: str) -> Column:
+    return F.when(F.col(f"n_{name}") > 0, F.col(f"sum_{name}") / F.col(f"n_{name}"))
+
+
+def live_delay_from_state(spark: SparkSession, state_dir: str) -> DataFrame:
+    """``live_delay_by_airline`` from the followed state: no prediction is read."""
+    return (_live_totals(spark, state_dir).select("airline", _mean("delay").alias("avg_arr_delay"), "n")
+            .orderBy("avg_arr_delay", "airline"))
+
+
+def live_rate_from_state(spark: SparkSession, state_dir: str) -> DataFrame:
+    """``live_predicted_rate`` from the followed state: no prediction is read."""
+    return (_live_totals(spark, state_dir)
+            .select("airline", _mean("pred").alias("predicted_delayed_rate"), _mean("prob").alias("mean_delay_probability"), "n")
+            .orderBy("predicted_delayed_rate", "airline"))
 
 
 def live_delay_by_airline(predictions: DataFrame) -> DataFrame:
