@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -294,3 +295,112 @@ def test_output_gradients_match_differences():
         down = -model.log_probabilities(h, ids)[0].sum()
         model.p[name][at] += eps
         assert grad[name][at] == pytest.approx((up - down) / (2 * eps), abs=1e-4)
+
+
+# ------------------------------------------------- secrets: evidence, many spans, plain re-computation
+
+
+ENGLISH = """the of and to in is that it was for on are as with his they be at one have this from or had by hot but some what
+there we can out other were all your when up use word how said an each she which do their time if will way about many then them would write
+like so these her long make thing see him two has look more day could go come did my sound no most number who over know water than call first
+people may down side been now find any new work part take get place made live where after back little only round man year came show every
+good me give our under name very through just form great think help low line before turn cause same mean differ move right boy old too does
+tell sentence set three want air well also play small end put home read hand port large spell add even land here must big high such follow
+invoice window report garden sensor network printer history system question during without again problem picture change service"""
+
+
+@pytest.fixture(scope="module")
+def english_model(frame):
+    rng = random.Random(11)
+    words = ENGLISH.split()
+    sentence = lambda: " ".join(rng.choice(words) for _ in range(12)).capitalize() + "."
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"{sentence()} {sentence()} token={''.join(rng.choice(chars) for _ in range(32))}" for _ in range(300)]
+    return secrets.train(frame([(i, t) for i, t in enumerate(texts)]))
+
+
+def test_formulas_names_and_numbers_are_no_secrets(frame, english_model):
+    """Ordinary strings that no sample holds."""
+    rng = random.Random(12)
+    words = ["C6H12O6", "C2H5OH", "Mg2SiO4", "H1N1", "H5N1", "R2D2", "i18n-l10n-a11y", "MP3", "b2b", "IPv6", "ISO-8859-1", "utf8mb4", "x86_64", "RFC2616",
+             "20230415T123000", "0x7ffe", "1234567890123456", "550E8400-E29B-41D4-A716-446655440000", "deadbeefcafe", "0.1.2-beta3", "3rd", "A4", "v1.2.3"]
+    nouns = ["invoice", "window", "report", "garden", "sensor"]
+    words += [f"{rng.choice(nouns)}{rng.choice('_-')}{rng.choice(nouns)}{rng.randrange(10**k)}" for k in range(1, 6) for _ in range(20)]
+    words += [f"{rng.randrange(1990, 2030)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}" for _ in range(40)]
+    words += [f"{rng.randrange(10**k)}x{rng.randrange(10**k)}" for k in range(2, 6) for _ in range(10)]
+    words += [rng.choice(nouns) + rng.choice(nouns).capitalize() + rng.choice(nouns).capitalize() for _ in range(20)]
+    got = markov_spans(frame, english_model, [f"see {w} there" for w in words])
+    assert [w for w, g in zip(words, got) if g] == [] and len(words) > 200
+
+
+def test_unseen_random_strings_are_found(frame, english_model):
+    rng = random.Random(13)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    fresh = ["".join(rng.choice(chars) for _ in range(rng.randrange(16, 41))) for _ in range(200)]
+    got = markov_spans(frame, english_model, [f"use {w} now" for w in fresh])
+    assert sum(g == [w] for w, g in zip(fresh, got)) >= 0.9 * len(fresh)
+
+
+def test_log_ratio_and_lengths_match_plain_arithmetic(spark, prose_model):
+    size, alphabet = len(secrets.ALPHABET), secrets.ALPHABET
+    kind = lambda t: 0 if not re.search("[0-9]", t) else 3 if re.search("[A-Z]", t) else 2 if re.search("[a-z]", t) else 1
+    plain = lambda t: sum(prose_model[alphabet.index(a) * size + alphabet.index(b)][kind(t)] for a, b in zip(t, t[1:]))
+    rng = random.Random(14)
+    runs = ["".join(rng.choice(alphabet[:62]) for _ in range(rng.randrange(1, 30))) for _ in range(100)] + ["plain", "1234", "a1", "Q7xZ9kW2"]
+    rows = spark.createDataFrame([(t,) for t in runs], "t string").select("t", secrets.log_ratio(F.col("t"), prose_model).alias("x")).collect()
+    assert all(r.x == pytest.approx(plain(r.t), abs=1e-9) for r in rows)
+    assert max(abs(x) for entry in prose_model for x in entry) <= secrets.MOST
+    least = secrets.shortest(prose_model, secrets.THRESHOLD)
+    assert all(n is None or n >= secrets.THRESHOLD / secrets.MOST for n in least)
+    for t in runs:
+        if plain(t) >= secrets.THRESHOLD:
+            assert len(t) >= least[kind(t)]
+
+
+def plain_redaction(text, spans):
+    out, at = "", 0
+    merged = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    for start, end in merged:
+        out, at = out + text[at:start] + "[SECRET]", end
+    return out + text[at:]
+
+
+def test_redaction_and_blanking_match_plain_python(frame, prose_model):
+    rng = random.Random(15)
+    pairs = secret_texts()
+    for i in range(40):  # overlapping kinds, touching spans, characters of several bytes, noncharacters
+        parts = [rng.choice(["token=", "0123456789abcdef" * 2, "é漢🙂", " ", "x9Kq2LmZ7vRt4WpB", "﷐", "AKIA" + "Z" * 20, ".", "plain words "]) for _ in range(rng.randrange(1, 30))]
+        pairs.append((1000 + i, "".join(parts) * rng.choice([1, 1, 9])))
+    found = secrets.scan(frame(pairs), prose_model).select(
+        "_row.doc_id", "spans", secrets.redacted(F.col("_text"), F.col("spans")).alias("r"), secrets.blanked(F.col("_text"), F.col("spans")).alias("b")
+    )
+    for r in found.collect():
+        text = dict(pairs)[r.doc_id] or ""
+        spans = [(s.start, s.end) for s in r.spans]
+        assert r.r == plain_redaction(text, spans)
+        assert r.b == "".join(" " if any(s <= k < e for s, e in spans) else c for k, c in enumerate(text)) if len(text) < 5000 else True
+
+
+def test_many_spans_in_one_text(frame):
+    """80,000 spans in one text with characters of several bytes: positions right, in seconds."""
+    n, piece = 80_000, "é " + "0123456789abcdef0123456789 "
+    started = time.monotonic()
+    df = frame([(1, piece * n)], partitions=1)
+    r = secrets.scan(df, None).select("spans", F.length("_text").alias("n")).first()
+    assert len(r.spans) == n and r.n == len(piece) * n
+    assert all(s.start == k * len(piece) + 2 and s.end == s.start + 26 for k, s in enumerate(r.spans))
+    out = secrets.redact(df, None).first().text
+    assert out == "é [SECRET] " * n
+    assert time.monotonic() - started < 120
+
+
+def test_clean_corpus_is_left_alone(frame, prose_model):
+    rng = random.Random(16)
+    texts = [" ".join(rng.choice(["taren", "molis", "vercon", "tion", "pasel", "Word,", "10%", "(see"]) for _ in range(60)) for _ in range(30)]
+    df = frame(list(enumerate(texts)), clashing=True)
+    assert sorted(secrets.redact(df, prose_model).collect()) == sorted(df.collect())
