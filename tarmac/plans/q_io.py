@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import ingest as IN
+from tarmac.operators import partials as PA
 from tarmac.operators import rejects as RJ
 from tarmac.operators import replay as RP
 from tarmac.operators import summaries as SU
@@ -262,3 +263,61 @@ def q_snk3(spark, sf):
     back = (spark.read.option("header", True).schema(STREAM_SCHEMA).csv(path)
             .withColumn("flight_date", F.to_date("flight_date")))
     return RP.batch_profile(back)
+
+
+@register(
+    "flt5_recent_months_metadata",
+    O.oracle("SELECT year, month, COUNT(*) AS n, SUM(arr_delay) AS sum_arr_delay FROM recent GROUP BY year, month", RECENT_SQL),
+)
+def q_flt5_metadata(spark, sf):
+    """The newest months of the curated table, found without reading a column."""
+    path = work_dir(spark, "curated")
+    W.write_curated(IN.curated_projection(flights(spark, sf), CURATED_COLUMNS), path)
+    recent = FS.read_recent_months(spark, path, REPLAY_MONTHS)
+    return recent.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), F.sum("arr_delay").alias("sum_arr_delay"))
+
+
+# The month that the second load delivers (again, in full).
+RELOADED = (1998, 3)
+
+
+def loaded_states(spark: SparkSession, sf_dir: str) -> str:
+    """States after two loads: all flights but two thirds of one month, then that month."""
+
+    def make():
+        curated, states = work_dir(spark, "loads"), work_dir(spark, "states")
+        rows = IN.curated_projection(flights(spark, sf_dir), CURATED_COLUMNS)
+        late = PA.in_months([RELOADED])
+        PA.load_months(rows.where(~late | (F.dayofmonth("flight_date") <= 10)), curated, states)
+        PA.load_months(rows.where(late), curated, states)
+        remove_folder(spark, curated)
+        return states
+
+    return _LOADS.get(spark, sf_dir, "states", make, remove_folder)
+
+
+@register(
+    "agg_summaries_from_states",
+    O.oracle("""
+        SELECT CASE GROUPING(airline, origin, dest, day_of_week) WHEN 7 THEN 'airline' WHEN 11 THEN 'origin' WHEN 13 THEN 'dest'
+                    WHEN 9 THEN 'origin+dest' WHEN 14 THEN 'day_of_week' ELSE 'all' END AS grouping_set,
+               airline, origin, dest, day_of_week, COUNT(*) AS n, round(AVG(arr_delay), 6) AS avg_arr_delay,
+               round(stddev_samp(arr_delay), 6) AS sd_arr_delay, MIN(arr_delay) AS min_arr_delay, MAX(arr_delay) AS max_arr_delay,
+               round(AVG(dep_delay), 6) AS avg_dep_delay
+        FROM flights GROUP BY GROUPING SETS ((airline), (origin), (dest), (origin, dest), (day_of_week), ())"""),
+)
+def q_states(spark, sf):
+    """Every summary table after two loads, from month states only."""
+    states, united = spark.read.parquet(loaded_states(spark, sf)), None
+    for dims in PA.DIMENSION_SETS:
+        keys = [F.col(d) if d in dims else F.lit(None).cast("string").alias(d) for d in ("airline", "origin", "dest", "day_of_week")]
+        part = PA.merged(states, list(dims)).select(
+            F.lit(PA.set_name(dims)).alias("grouping_set"), *keys, "n", F.round("avg_arr_delay", 6).alias("avg_arr_delay"),
+            F.round("sd_arr_delay", 6).alias("sd_arr_delay"), "min_arr_delay", "max_arr_delay", F.round("avg_dep_delay", 6).alias("avg_dep_delay"))
+        united = part if united is None else united.unionByName(part)
+    return united
+
+
+@register("agg8_correlation_from_states", O.oracle("SELECT round(corr(distance, arr_delay), 6) AS corr FROM flights"))
+def q_states_corr(spark, sf):
+    return PA.correlation_from_states(spark.read.parquet(loaded_states(spark, sf))).select(F.round("corr", 6).alias("corr"))

@@ -8,8 +8,10 @@ below the given folder are read.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators.ingest import arrived, clean
@@ -109,3 +111,39 @@ def read_predictions(spark: SparkSession, path: str, ignore_corrupt: bool = Fals
 def snapshot_ids(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the committed batches below ``path``, ascending (a folder listing, no data)."""
     return [c.batch for c in committed(spark, path)]
+
+
+def newest_date(spark: SparkSession, path: str, date_col: str = "flight_date"):
+    """The largest date of a Parquet table, answered by its files' footers; None without any.
+
+    The reader of this session pushes the maximum into the scan, which then reads no data
+    page.  Where a file has no statistics for the column, the column is scanned.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        return newest_date_query(own, path, date_col).first()[0]
+    except (PySparkException, Py4JJavaError):
+        return newest_date_query(spark, path, date_col).first()[0]
+
+
+def newest_date_query(spark: SparkSession, path: str, date_col: str = "flight_date") -> DataFrame:
+    return spark.read.parquet(path).agg(F.max(date_col))
+
+
+def read_recent_months(spark: SparkSession, path: str, months: int, date_col: str = "flight_date") -> DataFrame:
+    """The newest ``months`` calendar months of a curated table: their folders only.
+
+    The newest month comes from metadata; the filter is on the partition columns.
+    """
+    table = read_curated(spark, path)
+    newest = newest_date(spark, path, date_col)
+    if newest is None:
+        return table.where(F.lit(False))
+    last = newest.year * 12 + newest.month - 1
+    kept = [divmod(k, 12) for k in range(last - months + 1, last + 1)]
+    wanted = F.lit(False)
+    for year, month in kept:
+        wanted = wanted | ((F.col("year") == year) & (F.col("month") == month + 1))
+    return table.where(wanted & F.col(date_col).isNotNull())

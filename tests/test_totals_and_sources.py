@@ -112,7 +112,7 @@ def test_damaged_prediction_file_fails_unless_asked(spark):
     for batch in (0, 1):
         W.write_batch_snapshot(spark.range(5).coalesce(1), path, batch)
     local = path.replace("file://", "").replace("file:", "")
-    victim = glob.glob(f"{local}/batch=1/part-*.parquet")[0]
+    victim = glob.glob(f"{local}/batch=1/**/part-*.parquet", recursive=True)[0]
     with open(victim, "wb") as f:
         f.write(b"not parquet at all")
     with pytest.raises(Exception):
