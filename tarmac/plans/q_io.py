@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators import appends as AP
 from tarmac.operators import ingest as IN
 from tarmac.operators import partials as PA
 from tarmac.operators import rejects as RJ
@@ -148,7 +149,7 @@ def q_src1_mixed(spark, sf):
     return IN.curated_projection(IN.clean(raw), CURATED_COLUMNS)
 
 
-_LOADS = Fixtures(keep=2)
+_LOADS = Fixtures(keep=3)
 
 
 def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -321,3 +322,49 @@ def q_states(spark, sf):
 @register("agg8_correlation_from_states", O.oracle("SELECT round(corr(distance, arr_delay), 6) AS corr FROM flights"))
 def q_states_corr(spark, sf):
     return PA.correlation_from_states(spark.read.parquet(loaded_states(spark, sf))).select(F.round("corr", 6).alias("corr"))
+
+
+def _day() -> F.Column:
+    return F.dayofmonth("flight_date")
+
+
+# Three deliveries that overlap, the last a repetition; (name, rows).
+DELIVERIES = (("first", lambda: _day() <= 20), ("second", lambda: _day() > 10), ("again", lambda: _day() > 10))
+
+
+def appended_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[tuple[str, int, int]]]:
+    """The curated table after overlapping raw deliveries, and (load, delivered, added) of each."""
+
+    def make():
+        source, curated = raw_csv_folder(spark, sf_dir), work_dir(spark, "appended")
+        done = []
+        for name, rows in DELIVERIES:
+            load = IN.arrived(IN.add_derived(IN.normalise(FS.read_raw_csv(spark, source)))).where(rows())
+            made = AP.append_new(IN.curated_projection(load, CURATED_COLUMNS), curated)
+            done.append((name, made.delivered, made.added))
+        remove_folder(spark, source)
+        return curated, done
+
+    return _LOADS.get(spark, sf_dir, "appended", make, lambda s, made: remove_folder(s, made[0]))
+
+
+@register("dst1_across_loads", O.oracle("SELECT * FROM flights"))
+def q_dst1_across(spark, sf):
+    """A table that overlapping and repeated loads were added to holds every flight once."""
+    return FS.read_curated(spark, appended_loads(spark, sf)[0]).select(*CURATED_COLUMNS)
+
+
+@register(
+    "dst1_load_counts",
+    O.oracle(
+        """
+        SELECT 'first' AS load, CAST(SUM(copies) AS BIGINT) AS delivered, COUNT(*) AS added FROM sent WHERE d <= 20
+        UNION ALL SELECT 'second', CAST(SUM(copies) AS BIGINT), COUNT(*) FILTER (WHERE d > 20) FROM sent WHERE d > 10
+        UNION ALL SELECT 'again', CAST(SUM(copies) AS BIGINT), 0 FROM sent WHERE d > 10""",
+        """sent AS (SELECT day(flight_date) AS d, CASE WHEN l_orderkey % 100 = 0 THEN 2 ELSE 1 END AS copies
+                    FROM base WHERE l_partkey % 50 <> 0)""",
+    ),
+)
+def q_dst1_counts(spark, sf):
+    """What each load delivered and what it added."""
+    return spark.createDataFrame(appended_loads(spark, sf)[1], "load string, delivered long, added long")

@@ -18,6 +18,7 @@ def write_curated(
     partition_by=("year", "month"),
     max_records_per_file: int = 5_000_000,
     only_written: bool = False,
+    append: bool = False,
 ) -> None:
     """Overwrite the curated table, partitioned by year / month.
 
@@ -26,11 +27,11 @@ def write_curated(
     that is larger than the advisory partition size (say, one holding a third of
     all rows) into several tasks and merges small months, so files stay near that
     size.  The whole table is replaced, so months that left the source are gone;
-    ``only_written`` replaces just the folders that receive rows (incremental loads).
+    ``only_written`` replaces just the folders that receive rows (incremental loads), and ``append`` keeps all that is there.
     """
     cols = [c for c in partition_by if c in df.columns]
     balanced = df.hint("rebalance", *cols) if cols else df
-    writer = (balanced.write.mode("overwrite")
+    writer = (balanced.write.mode("append" if append else "overwrite")
               .option("partitionOverwriteMode", "dynamic" if only_written else "static")
               .option("maxRecordsPerFile", max_records_per_file))
     if cols:
