@@ -14,6 +14,7 @@ from tarmac.operators import ingest as IN
 from tarmac.operators import partials as PA
 from tarmac.operators import rejects as RJ
 from tarmac.operators import replay as RP
+from tarmac.operators import sketches as SK
 from tarmac.operators import summaries as SU
 from tarmac.plans import oracle as O
 from tarmac.plans import sql as S
@@ -149,7 +150,7 @@ def q_src1_mixed(spark, sf):
     return IN.curated_projection(IN.clean(raw), CURATED_COLUMNS)
 
 
-_LOADS = Fixtures(keep=3)
+_LOADS = Fixtures(keep=4)
 
 
 def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -368,3 +369,37 @@ def q_dst1_across(spark, sf):
 def q_dst1_counts(spark, sf):
     """What each load delivered and what it added."""
     return spark.createDataFrame(appended_loads(spark, sf)[1], "load string, delivered long, added long")
+
+
+def loaded_sketches(spark: SparkSession, sf_dir: str) -> str:
+    """Month sketches after two loads, the second of one month."""
+
+    def make():
+        curated, sketches = work_dir(spark, "sketched"), work_dir(spark, "sketches")
+        rows = IN.curated_projection(flights(spark, sf_dir), CURATED_COLUMNS)
+        late = PA.in_months([RELOADED])
+        W.write_curated(rows.where(~late | (F.dayofmonth("flight_date") <= 10)), curated)
+        SK.refresh_sketches(spark, curated, sketches)
+        W.write_curated(rows.where(late), curated, only_written=True)
+        SK.refresh_sketches(spark, curated, sketches, [RELOADED])
+        remove_folder(spark, curated)
+        return sketches
+
+    return _LOADS.get(spark, sf_dir, "sketches", make, remove_folder)
+
+
+@register(
+    "agg7_quantiles_from_sketches",
+    O.oracle(
+        "\nUNION ALL\n".join(
+            f"SELECT '{m}' AS measure, {p}::DOUBLE AS p, COUNT({m}) AS n, "
+            + (f"{'MIN' if p == 0 else 'MAX'}({m})" if p in (0, 1) else "NULL") + " AS extreme, TRUE AS within_bound FROM flights"
+            for m in SK.MEASURES for p in SK.QUARTILES)),
+)
+def q_sketches(spark, sf):
+    """Quartiles of every measure from month sketches; whether their true ranks keep the bound; the ends are exact."""
+    found = SK.quantiles(spark.read.parquet(loaded_sketches(spark, sf)))
+    ranked = SK.rank_shares(flights(spark, sf), found)
+    error = SK.rank_error(F.col("p"), F.col("below"), F.col("upto"))
+    return ranked.select("measure", "p", "n", F.when(F.col("p").isin(0.0, 1.0), F.col("value")).alias("extreme"),
+                         (error <= SK.RANK_ERROR).alias("within_bound"))

@@ -14,10 +14,11 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.operators import evaluate as EV
+from tarmac.operators import wide as WI
 from tarmac.plans import ml as ML
 from tarmac.plans import oracle as O
 from tarmac.plans.q_batch import FLIGHT_KEY, FLIGHT_KEY_SQL
@@ -26,6 +27,7 @@ from tarmac.session import Fixtures, work_dir
 from tarmac.sinks import writers as W
 from tarmac.sources import files as FS
 from tarmac.sources.fixtures import flights
+from tarmac.functions.columns import route_label
 
 PREDICTION_SAMPLE_ROWS = 10_000
 
@@ -51,6 +53,31 @@ def _distinct_rank_sql(col: str) -> str:
             f"FROM flights GROUP BY {col}")
 
 
+ROUTE_SLOTS, ROUTE_OVERFLOW = 100, 16
+
+
+@register(
+    "fea2_bounded_index",
+    O.oracle(
+        f"""
+        SELECT slot, CASE WHEN slot < {ROUTE_SLOTS} THEN MIN(route) ELSE '(other ' || (slot - {ROUTE_SLOTS}) || ')' END AS name,
+               CAST(SUM(n) AS BIGINT) AS n
+        FROM (SELECT route, n, CAST(CASE WHEN place <= {ROUTE_SLOTS} THEN place - 1
+                     ELSE {ROUTE_SLOTS} + ('0x' || substr(md5(route), 1, 8))::BIGINT % {ROUTE_OVERFLOW} END AS INTEGER) AS slot
+              FROM (SELECT route, COUNT(*) AS n, row_number() OVER (ORDER BY COUNT(*) DESC, route) AS place
+                    FROM (SELECT origin || '→' || dest AS route FROM flights) GROUP BY route))
+        GROUP BY slot"""),
+)
+def q_fea2_bounded(spark, sf):
+    """Flights per slot of the route column: 100 routes of their own, 16 shared slots, whatever the number of routes."""
+    routes = flights(spark, sf).select(route_label().alias("route"))
+    index = WI.fit_index(routes, "route", ROUTE_SLOTS, ROUTE_OVERFLOW)
+    slotted = WI.with_slot(routes, "route", index)
+    names = F.array(*[F.lit(n) for n in index.names()])
+    counts = slotted.groupBy(F.col("route_slot").cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("slot", F.get(names, F.col("slot")).alias("name"), "n")
+
+
 @register("fea2_string_index", O.oracle("\nUNION ALL\n".join(_distinct_rank_sql(c) for c in ML.CATEGORICAL)))
 def q_fea2(spark, sf):
     """Labels of the fitted indexers: most frequent first, ties alphabetical."""
@@ -294,7 +321,11 @@ def q_met2_count(spark, sf):
 def q_met8_ends(spark, sf):
     """First and last point of the model's ROC curve, and that it never falls."""
     curve = EV.roc_curve(fitted(spark, sf, LR).scored, "delayed", "p_delayed")
-    monotone = curve.agg((F.max("tpr") == F.max_by("tpr", F.struct("fpr", "tpr"))).alias("m")).scalar()
+    # thinned to the distinct rates of three digits: a thousand steps either way at most, one small window
+    few = EV.roc_curve(fitted(spark, sf, LR).scored, "delayed", "p_delayed", digits=3)
+    by_threshold = Window.orderBy(F.col("threshold").desc_nulls_first())
+    rises = [(F.col(c) >= F.coalesce(F.lag(c).over(by_threshold), F.lit(0.0))).alias(c) for c in ("fpr", "tpr")]
+    monotone = few.select(*rises).agg(F.every(F.col("fpr") & F.col("tpr")).alias("m")).scalar()
     ends = curve.where("threshold IS NULL OR (fpr = 1 AND tpr = 1)").select("fpr", "tpr").distinct()
     return ends.withColumn("monotone", monotone)
 
@@ -324,6 +355,45 @@ def q_snk7_counts(spark, sf):
     return spark.read.parquet(path)
 
 
+# How far a category's mean prediction may lie from its mean label: minutes, and a probability.
+MEAN_TOLERANCE = {"linreg": 1e-6, "lr": 2e-3}
+
+
+def _category_means_sql(label: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS dimension, {c} AS category, COUNT(*) AS n, round(AVG({label}), 4) AS mean_label, TRUE AS mean_kept "
+        f"FROM tagged WHERE split = 'train' GROUP BY {c}" for c in ML.CATEGORICAL)
+
+
+def category_means(spark: SparkSession, sf_dir: str, spec: ML.ModelSpec):
+    """Per category of the training rows: mean label, and whether the mean prediction equals it.
+
+    An unregularised linear or logistic fit with an intercept and one-hot inputs has residuals that sum to zero in
+    every category (its normal or score equations); a wrong coefficient breaks that.  One scan of the training rows.
+    """
+    fit = fitted(spark, sf_dir, spec)
+    scored = fit.model.transform(fit.train)
+    value = vector_to_array("probability")[1] if spec.task == "classify" else F.col("prediction")
+    rows = scored.select(*ML.CATEGORICAL, F.col(spec.label).cast("double").alias("label"), value.alias("value"))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("category")) for c in ML.CATEGORICAL]))
+    means = rows.select(cells.alias("_c"), "label", "value").groupBy("_c.dimension", "_c.category").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("label").alias("label"), F.avg("value").alias("value"))
+    kept = F.abs(F.col("label") - F.col("value")) <= MEAN_TOLERANCE[spec.algo]
+    return means.select("dimension", "category", "n", F.round("label", 4).alias("mean_label"), kept.alias("mean_kept"))
+
+
+@register("mod3_category_means", O.oracle(_category_means_sql("arr_delay"), TAGGED_SQL))
+def q_mod3_means(spark, sf):
+    """The linear regression's normal equations hold for every airline, airport and weekday (tolerance 1e-6 minutes)."""
+    return category_means(spark, sf, LINREG)
+
+
+@register("mod1_category_means", O.oracle(_category_means_sql("delayed"), TAGGED_SQL))
+def q_mod1_means(spark, sf):
+    """The logistic regression's score equations hold for every category (tolerance 0.002)."""
+    return category_means(spark, sf, LR)
+
+
 @register("mod1_logistic_regression")
 def q_mod1(spark, sf):
     return ML.run_report(fitted(spark, sf, LR))
