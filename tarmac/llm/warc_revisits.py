@@ -5,10 +5,12 @@ capture.  Each revisit is joined, as of its time, to the latest earlier full res
 the same canonical URL.  Their validators are compared, and the stored headers are updated
 with those that a not-modified answer may change.
 
-The as-of join never needs a URL in one task: time is cut into ``buckets``.  A window inside a
+The as-of join never needs a URL in one task.  Records of one URL and time become one row, so that however many
+there are count as one; time is cut into at most ``buckets`` of about equally many records, by approximate quantiles
+of the times, so that an outlying time does not crowd the others into one bucket.  A window inside a
 (URL, bucket) finds the latest earlier response there; before the first of a bucket, the
 last response of the URL's earlier buckets holds, which a window over at most ``buckets``
-rows per URL carries forward.
+rows per URL carries forward.  The revisits then join their URL and time.
 
 Defined results: a revisit without an earlier response is an orphan; "earlier" is strict, and
 of responses of the same time the largest record id counts; records without a URL
@@ -22,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
+# Bounds that are compared one by one: first the last of every such group, then those of one group.
+STEP = 32
 
 # Query parameters that do not name a page.
 TRACKING = r"^(utm_[^=]*|ref|gclid|fbclid|sessionid)(=|$)"
@@ -76,6 +80,27 @@ def _opaque(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
+def time_bounds(times: DataFrame, buckets: int) -> list[int]:
+    """At most ``buckets`` - 1 times that cut the column ``_ts`` into about equal parts."""
+    shares = [k / buckets for k in range(1, buckets)]
+    found = times.agg(F.percentile_approx("_ts", shares, F.lit(10 * max(buckets, 1000)))).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def bucket_of(ts: Column, bounds: list[int]) -> Column:
+    """How many of the bounds are not later than ``ts``."""
+
+    def array(values: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")  # folded into one literal
+
+    if not bounds:
+        return F.lit(0)
+    groups = bounds[STEP - 1 :: STEP]
+    whole = F.size(F.filter(array(groups), lambda b: b <= ts)) if groups else F.lit(0)
+    rest = F.slice(array(bounds), whole * STEP + 1, F.lit(STEP))
+    return whole * STEP + F.size(F.filter(rest, lambda b: b <= ts))
+
+
 def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row per revisit: record_id, canonical_url, resolved_id, status, headers.
 
@@ -90,21 +115,21 @@ def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     ).where(F.col("kind").isin("response", "revisit"))
     known = rows.where(F.col("_url").isNotNull() & F.col("_ts").isNotNull())
     lost = rows.where((F.col("_url").isNull() | F.col("_ts").isNull()) & ~F.col("_full"))
-    ends = known.agg(F.min("_ts").alias("a"), F.max("_ts").alias("b")).first()
-    first, width = ends["a"] or 0, ((ends["b"] or 0) - (ends["a"] or 0)) // buckets + 1
-    full = F.struct("record_id", "_headers", "_digest")
-    cut = known.withColumn("_bucket", F.floor((F.col("_ts") - F.lit(first)) / F.lit(width)))
-    order = F.struct("_ts", "record_id")
-    last = cut.where("_full").groupBy("_url", "_bucket").agg(F.max_by(full, order).alias("_last"))
-    # URLs' buckets that hold any record, with the last response of earlier ones
-    present = cut.where("NOT _full").select("_url", "_bucket").distinct().join(last, ["_url", "_bucket"], "full")
-    before = Window.partitionBy("_url").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = present.select("_url", "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_before"))
-    earlier = Window.partitionBy("_url", "_bucket").orderBy("_ts").rangeBetween(Window.unboundedPreceding, -1)
-    inside = cut.withColumn("_found", F.max_by(F.when(F.col("_full"), full), F.when(F.col("_full"), order)).over(earlier))
-    placed = inside.where("NOT _full").join(carried, ["_url", "_bucket"], "left").select(
-        "record_id", "_url", "_headers", "_digest", F.coalesce("_found", "_before").alias("_full")
+    full = F.when(F.col("_full"), F.struct("record_id", "_headers", "_digest"))
+    # one row per URL and time, with the response of that time, if any
+    times = known.groupBy("_url", "_ts").agg(
+        F.max_by(full, F.when(F.col("_full"), F.struct("record_id"))).alias("_last"), F.bool_or(~F.col("_full")).alias("_asked")
     )
+    cut = times.withColumn("_bucket", bucket_of(F.col("_ts"), time_bounds(known, buckets)))
+    # URLs' buckets, with the last response of earlier ones
+    ends = cut.groupBy("_url", "_bucket").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_ts"))).alias("_last"))
+    before = Window.partitionBy("_url").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_url", "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    earlier = Window.partitionBy("_url", "_bucket").orderBy("_ts").rowsBetween(Window.unboundedPreceding, -1)
+    inside = cut.withColumn("_found", F.last("_last", ignorenulls=True).over(earlier)).where("_asked")
+    answers = inside.join(carried, ["_url", "_bucket"], "left").select("_url", "_ts", F.coalesce("_found", "_before").alias("_full"))
+    asked = known.where("NOT _full").select("record_id", "_url", "_ts", "_headers", "_digest")
+    placed = asked.join(answers, ["_url", "_ts"], "left").select("record_id", "_url", "_headers", "_digest", "_full")
     nothing = F.lit(None).cast(placed.schema["_full"].dataType)
     placed = placed.unionByName(lost.select("record_id", "_url", "_headers", "_digest", nothing.alias("_full")))
 

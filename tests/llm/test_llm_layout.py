@@ -1,5 +1,6 @@
 """SentencePiece scan, vector forest, sharding, packing, revisits, pipeline."""
 
+import bisect
 import collections
 import random
 import zlib
@@ -321,7 +322,7 @@ def test_revisits_match_brute_force(spark, buckets):
         url = "http://hot.com/" if i % 3 == 0 else f"http://www.site{rng.randrange(12)}.com/p/"
         kind = "response" if rng.random() < 0.4 else "revisit"
         tag = rng.choice("xyz")
-        headers = rng.choice([f'ETag: "{tag}"\r\nServer: {i}', f'ETag: W/"{tag}"\nContent-Length: {i}', "Server: s", None])
+        headers = rng.choice([f'ETag: "{tag}"\r\nServer: {i}', f'ETag: W/"{tag}"\nContent-Length: {i}', "Server: s", f"Last-Modified: day {tag}", f'ETag: "{tag}"\nLast-Modified: day y', None])
         records.append((i, url, rng.randrange(60), kind, headers, rng.choice(["d1", "d2", None]), "e"))
     records += [(900, None, 5, "revisit", None, None, "e"), (901, "http://hot.com", None, "revisit", None, None, "e"), (902, "http://hot.com", None, "response", None, None, "e")]
     got = {r.record_id: r for r in warc_revisits.resolve(spark.createDataFrame(records, RECORDS), buckets).collect()}
@@ -343,7 +344,7 @@ def test_revisits_match_brute_force(spark, buckets):
             assert got[i].status == "orphan"
             continue
         mine, stored = parse(headers), parse(best[4])
-        checks = [(mine.get("etag"), stored.get("etag")), (digest, best[5])]
+        checks = [(mine.get(n), stored.get(n)) for n in ("etag", "last-modified")] + [(digest, best[5])]
         checks = [(a.replace("W/", ""), b.replace("W/", "")) for a, b in checks if a and b]
         status = "unverified" if not checks else "resolved" if checks[0][0] == checks[0][1] else "mismatch"
         assert got[i].status == status
@@ -353,6 +354,27 @@ def test_revisits_match_brute_force(spark, buckets):
             assert got[i].headers == mine
 
 
+def test_an_outlying_or_hot_time_leaves_even_buckets(spark):
+    """One record at time 0 and one in the year 9999, a third of the records at one time; the rest over an hour."""
+    rng = random.Random(9)
+    times = [0, 253_370_764_800] + [1_700_000_000 + rng.randrange(3600) for _ in range(2000)] + [1_700_001_000] * 1000
+    frame = spark.createDataFrame([(t,) for t in times], "_ts long")
+    bounds = warc_revisits.time_bounds(frame, 64)
+    assert len(bounds) <= 63 and bounds == sorted(set(bounds))
+    got = frame.withColumn("b", warc_revisits.bucket_of(F.col("_ts"), bounds)).collect()
+    assert all(r.b == sum(x <= r._ts for x in bounds) for r in got)
+    sizes = collections.Counter(r.b for r in got if r._ts != 1_700_001_000)
+    assert max(sizes.values()) <= 2 * len(times) / 64
+    for n in (0, 1, 31, 32, 33, 70):
+        steps = list(range(10, 10 + 2 * n, 2))
+        rows = spark.range(200).withColumn("b", warc_revisits.bucket_of(F.col("id"), steps)).collect()
+        assert all(r.b == sum(x <= r.id for x in steps) for r in rows)
+    records = [(i, "http://a.b/", t, "response" if i % 5 == 0 else "revisit", None, "d", "") for i, t in enumerate(times)]
+    found = {r.record_id: r.resolved_id for r in warc_revisits.resolve(spark.createDataFrame(records, RECORDS), 64).collect()}
+    full = sorted((t, i) for i, t in enumerate(times) if i % 5 == 0)
+    assert found == {i: (full[k - 1][1] if (k := bisect.bisect_left(full, (t, -1))) else None) for i, t in enumerate(times) if i % 5}
+
+
 def test_revisits_empty_and_repeated_rows(spark):
     assert warc_revisits.resolve(spark.createDataFrame([], RECORDS)).collect() == []
     rows = [(1, "http://a.b/", 1, "response", "A: 1\nA: 2\nno colon", "d", "")] + [(2, "http://a.b", 3, "revisit", None, "d", "")] * 2
