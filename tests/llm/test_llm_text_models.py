@@ -297,6 +297,45 @@ def test_output_gradients_match_differences():
         assert grad[name][at] == pytest.approx((up - down) / (2 * eps), abs=1e-4)
 
 
+def test_gradients_through_time_match_differences():
+    """Embeddings, gates and biases: a window with resets, unused targets and a carried state."""
+    model = lm.GatedModel(7, hidden=4)
+    rng = np.random.default_rng(5)
+    model.p = {k: np.where(v <= -1e8, v, rng.standard_normal(v.shape) * 0.7).astype(float) for k, v in model.p.items()}
+    training = lm.Training(model, lanes=3, window=6, rate=0.0)  # rate 0: parameters stay
+    inputs, targets = rng.integers(0, 7, (3, 6)), rng.integers(0, 7, (3, 6))
+    targets[2, 4:] = -1
+    starts = np.zeros((3, 6), bool)
+    starts[0, 3] = starts[1, 0] = True
+    first = rng.standard_normal((3, 4))
+
+    def loss() -> float:
+        h, total, n = first, 0.0, 0
+        for t in range(6):
+            h, _ = model.step(inputs[:, t], h * ~starts[:, t, None])
+            used = targets[:, t] >= 0
+            total -= model.log_probabilities(h[used], targets[used, t])[0].sum()
+            n += used.sum()
+        return total / n
+
+    sparse = {}
+    training.sparse = lambda name, rows, grad: sparse.__setitem__(name, (rows, grad.copy()))
+    training.step(inputs, targets, starts, first)
+    rows, grads = sparse["e"]
+    gradient = {k: training.grad[k] for k in ("w", "u", "b")} | {"e": np.zeros_like(model.p["e"])}
+    gradient["e"][rows] = grads
+    assert np.abs(gradient["u"]).max() > 1e-3
+    for name, grad in gradient.items():
+        for at in np.ndindex(grad.shape):
+            old, eps = model.p[name][at], 1e-5
+            model.p[name][at] = old + eps
+            up = loss()
+            model.p[name][at] = old - eps
+            down = loss()
+            model.p[name][at] = old
+            assert grad[at] == pytest.approx((up - down) / (2 * eps), abs=1e-5), (name, at)
+
+
 # ------------------------------------------------- secrets: evidence, many spans, plain re-computation
 
 
