@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
 the columns of ``documents``.  ``run`` writes every stage's result as Parquet to the shared
-folder and reads it back as the next stage's input.
+folder and reads it back as the next stage's input; the last one's result is what stays there.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarmac.llm import exact_dedup, ngram_join, secrets, toxicity
 from tarmac.llm.common import table
 from tarmac.llm.queries import packed_documents, toxicity_model
-from tarmac.session import work_dir
+from tarmac.session import remove_folder, work_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = work_dir(spark, "pipeline")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return docs
