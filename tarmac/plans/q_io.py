@@ -31,7 +31,7 @@ from tarmac.session import Fixtures, remove_folder, work_dir
 from tarmac.sinks import writers as W
 from tarmac.sources import files as FS
 from tarmac.sources import layouts as LA
-from tarmac.sources.fixtures import flights, raw_flights_text
+from tarmac.sources.fixtures import flights, raw_flights_text, stored_flights
 
 
 def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -288,7 +288,7 @@ def loaded_states(spark: SparkSession, sf_dir: str) -> str:
 
     def make():
         curated, states = work_dir(spark, "loads"), work_dir(spark, "states")
-        rows = IN.curated_projection(flights(spark, sf_dir), CURATED_COLUMNS)
+        rows = IN.curated_projection(stored_flights(spark, sf_dir), CURATED_COLUMNS)
         late = PA.in_months([RELOADED])
         PA.load_months(rows.where(~late | (F.dayofmonth("flight_date") <= 10)), curated, states)
         PA.load_months(rows.where(late), curated, states)
@@ -376,7 +376,7 @@ def loaded_sketches(spark: SparkSession, sf_dir: str) -> str:
 
     def make():
         curated, sketches = work_dir(spark, "sketched"), work_dir(spark, "sketches")
-        rows = IN.curated_projection(flights(spark, sf_dir), CURATED_COLUMNS)
+        rows = IN.curated_projection(stored_flights(spark, sf_dir), CURATED_COLUMNS)
         late = PA.in_months([RELOADED])
         W.write_curated(rows.where(~late | (F.dayofmonth("flight_date") <= 10)), curated)
         SK.refresh_sketches(spark, curated, sketches)
