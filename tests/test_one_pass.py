@@ -41,3 +41,18 @@ def test_rows_tagged_for_classification_serve_regression(spark):
     shared = ML.fit_tagged(ML.tagged_rows(rows, ML.ModelSpec("classify", "lr"), key), spec)
     assert ML.run_counts(shared).collect() == ML.run_counts(alone).collect()
     assert [round(c, 6) for c in shared.estimator.coefficients] == [round(c, 6) for c in alone.estimator.coefficients]
+
+
+def test_a_scored_batch_is_parsed_once(spark, monkeypatch):
+    src, out = work_dir(spark, "t_once_src"), work_dir(spark, "t_once_out")
+    spark.createDataFrame([("AA", 1.0), ("BB", None)], "airline string, arr_delay double").write.parquet(src)
+    kept = []
+
+    def score(model, batch, outputs, keep):
+        kept.append(batch.storageLevel.useMemory)
+        return batch
+
+    monkeypatch.setattr(J, "score_rows", score)
+    stream = J.read_table_stream(spark, src, "part-*", spark.read.parquet(src).schema, max_files_per_trigger=100)
+    J.run_scoring(stream, None, out, work_dir(spark, "t_once_ckpt"))
+    assert kept == [True]
