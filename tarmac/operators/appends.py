@@ -136,10 +136,11 @@ def append_new(df: DataFrame, curated_path: str, bits: int = FILTER_BITS) -> App
     """
     spark = df.sparkSession
     staged, chosen = work_dir(spark, "append"), work_dir(spark, "append_new")
-    rows = with_digest(df)
     try:
-        # copies within the load collapse before the shuffle
-        copies = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+        # copies within the load collapse before the shuffle; the digest, which follows from the other columns, is added behind it
+        copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+        if DIGEST not in df.columns:
+            copies = copies.withColumn(DIGEST, row_digest(df))
         copies.write.parquet(staged)
         load = spark.read.schema(copies.schema).parquet(staged)
         per_month = load.groupBy(*PARTITIONS).agg(F.sum("_copies").alias("n")).collect()  # one row per month
@@ -149,8 +150,9 @@ def append_new(df: DataFrame, curated_path: str, bits: int = FILTER_BITS) -> App
             load = unseen(load, held, len(per_month), bits)
             if DIGEST not in spark.read.parquet(curated_path).columns:
                 load = load.drop(DIGEST)
-        load.write.parquet(chosen)
-        new = spark.read.schema(load.schema).parquet(chosen)
+            load.write.parquet(chosen)
+            load = spark.read.schema(load.schema).parquet(chosen)
+        new = load  # without a table, all staged rows
         added = new.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()
         if added:
             write_curated(new, curated_path, append=True)

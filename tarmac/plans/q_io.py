@@ -337,13 +337,16 @@ def appended_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[tuple[st
     """The curated table after overlapping raw deliveries, and (load, delivered, added) of each."""
 
     def make():
-        source, curated = raw_csv_folder(spark, sf_dir), work_dir(spark, "appended")
+        source, curated, parsed = raw_csv_folder(spark, sf_dir), work_dir(spark, "appended"), work_dir(spark, "parsed")
+        # the deliveries are cuts of one feed, copies and all, whose text is parsed once
+        feed = IN.arrived(IN.add_derived(IN.normalise(FS.read_raw_csv(spark, source))))
+        IN.curated_projection(feed, CURATED_COLUMNS).write.parquet(parsed)
+        remove_folder(spark, source)
         done = []
         for name, rows in DELIVERIES:
-            load = IN.arrived(IN.add_derived(IN.normalise(FS.read_raw_csv(spark, source)))).where(rows())
-            made = AP.append_new(IN.curated_projection(load, CURATED_COLUMNS), curated)
+            made = AP.append_new(spark.read.parquet(parsed).where(rows()), curated)
             done.append((name, made.delivered, made.added))
-        remove_folder(spark, source)
+        remove_folder(spark, parsed)
         return curated, done
 
     return _LOADS.get(spark, sf_dir, "appended", make, lambda s, made: remove_folder(s, made[0]))

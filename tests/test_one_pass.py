@@ -15,6 +15,19 @@ from tarmac.sources.fixtures import flights, stored_flights
 from tarmac.streaming import jobs as J
 
 
+def test_a_date_layout_is_tried_only_on_text_with_its_separators(spark):
+    texts = ["2000-01-05", "1/5/2000", "01/05/2000", "13/40/2000", "2000-1-5", "2000/01/05", "-", "/", "", " ", "x-y/z", "1-2/3", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_date("t", p) for p in DATE_PATTERNS])
+    found = rows.select("t", parse_date_multi("t").alias("d"), plain.alias("same"))
+    assert [r for r in found.collect() if r["d"] != r["same"]] == []
+    assert found.where("d IS NOT NULL").count() >= 3
+    assert "Contains(t" in found._jdf.queryExecution().executedPlan().toString()
+    # optional parts need no separator
+    loose = rows.select(parse_date_multi("t", ["yyyy[-MM][-dd]"]).alias("d"), F.try_to_date("t", "yyyy[-MM][-dd]").alias("same"))
+    assert all(r["d"] == r["same"] for r in loose.collect())
+
+
 def test_stored_flights_are_the_flights_without_their_joins(spark):
     stored, made = stored_flights(spark, SF_SMALL), flights(spark, SF_SMALL)
     assert stored.columns == made.columns and stored.dtypes == made.dtypes
@@ -56,3 +69,28 @@ def test_a_scored_batch_is_parsed_once(spark, monkeypatch):
     stream = J.read_table_stream(spark, src, "part-*", spark.read.parquet(src).schema, max_files_per_trigger=100)
     J.run_scoring(stream, None, out, work_dir(spark, "t_once_ckpt"))
     assert kept == [True]
+
+
+def test_a_first_load_is_staged_once_and_grouped_without_its_digest(spark, monkeypatch):
+    written, plans = [], []
+    real = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kw):
+        written.append(path)
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    path = work_dir(spark, "t_first")
+    rows = spark.createDataFrame([(dt.date(2000, 1, 2), "AA", 1.0, 2000, 1)] * 3, "flight_date date, airline string, arr_delay double, year int, month int")
+    assert AP.append_new(rows, path) == AP.Appended(3, 1, ((2000, 1),))
+    assert len(written) == 2 and written[1] == path
+    assert all("md5" not in line for line in plans[0].split("Exchange")[1:])
+
+
+def test_the_deliveries_are_parsed_once(spark, monkeypatch):
+    reads, real = [], q_io.FS.read_raw_csv
+    monkeypatch.setattr(q_io.FS, "read_raw_csv", lambda *a, **k: reads.append(1) or real(*a, **k))
+    monkeypatch.setattr(q_io, "_LOADS", Fixtures(keep=4))
+    _, done = q_io.appended_loads(spark, SF_SMALL)
+    assert reads == [1] and [d[0] for d in done] == ["first", "second", "again"] and done[2][2] == 0
