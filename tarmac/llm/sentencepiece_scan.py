@@ -108,6 +108,8 @@ class Pieces:
                 self.table.setdefault(self.names[i][:n], None)
         for i in plain:
             self.table[self.names[i]] = (i, 0.0 if self.merging else model.get_score(i) - offset[i])
+        # whether every character of a piece is a piece
+        self.closed = all(c in self.score for c in set("".join(self.score)))
         self.resets = not any(MARK in self.names[i].lstrip(MARK) for i in plain)
         # words between forced boundaries; a line break without a piece stands for itself
         line = "" if "\n" in self.table else "\n"
@@ -227,8 +229,71 @@ class Pieces:
             at = came
         return np.array(ids[::-1], ID_TYPE).tobytes()
 
+    def _bytes(self, ids: list[int], text: str) -> bytes:
+        """Path ``ids``, with a negative one for each lone character: minus one less its position."""
+        out: list[int] = []
+        for i in ids:
+            if i >= 0:
+                out.append(i)
+            elif self.byte_ids:
+                out += [self.byte_ids[b] for b in text[-1 - i].encode("utf-8", "surrogatepass")]
+            else:
+                out.append(self.unknown_id)
+        return struct.pack(f"<{len(out)}I", *out)
+
     def _merged_path(self, text: str) -> bytes:
-        """``search`` over a whole word of a BPE model: one piece can end at each position."""
+        """The path of a whole word of a BPE model, longest pieces tried first.
+
+        One piece can end at each position, so a position that leads nowhere once never does.  A path that
+        fails at a position goes on with the next shorter piece; most words need no such step.
+        """
+        if not self.closed:
+            return self._searched_path(text)
+        n, longest, get, apart, known = len(text), self.longest, self.table.get, self.stay_apart, self.apart.get
+        ids: list[int] = []
+        open_ends: list[list[tuple[int, int]]] = []  # per position of the path: shorter pieces not tried yet
+        starts: list[int] = []
+        dead: set[int] = set()
+        at, left, found = 0, START, None
+        while at < n:
+            if found is None:
+                found = []
+                for end in range(at + 1, min(n, at + longest) + 1):
+                    piece = get(text[at:end], 0)
+                    if piece:
+                        found.append((end, piece[0]))
+                    elif piece == 0:
+                        break
+                if not found:
+                    found.append((at + 1, -1 - at))
+            while found:
+                end, right = found.pop()
+                if end in dead:
+                    continue
+                if left >= 0 and right >= 0:
+                    ok = known(left << 32 | right)
+                    if ok is None:
+                        ok = apart(left, right)
+                    if not ok:
+                        continue
+                open_ends.append(found)
+                starts.append(at)
+                ids.append(right)
+                at, left, found = end, right, None
+                break
+            else:
+                dead.add(at)
+                if not ids:
+                    return self._searched_path(text)
+                found, at = open_ends.pop(), starts.pop()
+                ids.pop()
+                left = ids[-1] if ids else START
+        if n and min(ids) < 0:
+            return self._bytes(ids, text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _searched_path(self, text: str) -> bytes:
+        """``_merged_path`` by the search over all positions."""
         n, longest, get, apart, known = len(text), self.longest, self.table.get, self.stay_apart, self.apart.get
         last, came = [None] * (n + 1), [0] * (n + 1)
         last[0] = START

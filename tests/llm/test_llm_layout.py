@@ -461,3 +461,30 @@ def test_query_matches_oracle(spark, duck, name):
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, result.fetchall())
+
+
+class _Counted(dict):
+    looked = 0
+
+    def get(self, *args):
+        self.looked += 1
+        return super().get(*args)
+
+
+def test_words_are_merged_with_few_lookups(pieces):
+    """A word takes about one look-up a character, and the path is that of the search over all positions."""
+    rng = random.Random(5)
+    words = ["▁" + "".join(rng.choice(["the", "ing", "er", "st", "qu", "é", "ß", ",", "x9"]) for _ in range(6)) for _ in range(400)]
+    words += ["".join(rng.choice("▁abehinrst漢🙂\n.") for _ in range(rng.randint(1, 20))) for _ in range(400)] + ["▁" * 9, "a" * 40, ""]
+    table, pieces.table = pieces.table, _Counted(pieces.table)
+    try:
+        fast, looked = [pieces._merged_path(w) for w in words], pieces.table.looked
+    finally:
+        pieces.table = table
+    assert looked < 2.5 * sum(map(len, words))
+    assert fast == [pieces._searched_path(w) for w in words]
+
+
+def test_characters_that_only_longer_pieces_hold_are_searched(pieces, monkeypatch):
+    monkeypatch.setattr(pieces, "closed", False)
+    assert pieces._merged_path("▁whether") == pieces._searched_path("▁whether")
