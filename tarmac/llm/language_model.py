@@ -5,17 +5,20 @@ aggregation).  They give the add-one unigram base score and the model's vocabula
 seen at least ``LEAST_SEEN`` times (the ``VOCABULARY`` most frequent of them), the end of a
 document, and a class of its own for all other words.
 
-Model.  A gated recurrent unit in numpy with a class-factored softmax: P(word) = P(class) *
-P(word | class), classes being runs of the frequency-ordered vocabulary.  It is trained on all
-training documents in ``ROUNDS`` rounds, each over the rows of one hash bucket: every partition
-starts from the shared parameters, runs truncated backpropagation over blocks of its documents
-(the state carried from window to window and reset where a document starts) and emits them;
-an aggregation averages each row of a parameter by the tokens that trained it, and a written
+Rows.  Every document is split and looked up once: a checkpoint holds its token ids (two bytes
+each), its sums and its rare words; training and scoring read that.
+
+Model.  A gated recurrent unit in numpy with a class-factored softmax: P(word) = P(group) *
+P(class | group) * P(word | class), classes being runs of the frequency-ordered vocabulary and groups
+runs of classes.  It is trained on all training documents in ``ROUNDS`` rounds, each over the rows of
+one hash bucket: every partition starts from the shared parameters, runs truncated backpropagation over
+blocks of its documents (the state carried from window to window and reset where a document starts) and
+emits them; an aggregation averages each row of a parameter by the tokens that trained it, and a written
 table cuts the lineage.  A small table is read in one partition and several times.  A word outside
 the vocabulary costs the unknown class and its smoothed share among such words.
 
-Scoring.  Whole documents run side by side, the state carried across windows, so the sum is
-the log-likelihood of the complete document.  Words outside the bounded table of
+Scoring.  Whole documents run side by side, one after the other in each lane, the state carried across
+windows, so the sum is the log-likelihood of the complete document.  Words outside the bounded table of
 frequent words that every task holds are looked up with a join on the word.
 
 Defined results: null and empty texts are one end token; null ids are training rows like any
@@ -25,12 +28,14 @@ uniform over what it has; repeated rows are scored like others.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +44,7 @@ from tarmac.operators.sampling import bounded_sample
 
 # Words whose counts every task holds; rarer ones are joined.
 FREQUENT = 100_000
-# The model's vocabulary: words seen so often, at most so many (a token costs the square root of them).
+# The model's vocabulary: words seen so often, at most so many.
 LEAST_SEEN = 5
 VOCABULARY = 1 << 15
 HIDDEN = 24
@@ -50,7 +55,7 @@ BLOCK = 1 << 18
 SHARD_TOKENS = 1 << 21
 ROUNDS = 3
 # Positions that are scored together, and rows of a softmax that are held at once.
-SCORED_ROWS = 1 << 14
+SCORED_ROWS = 1 << 16
 SOFTMAX_ROWS = 1024
 # Small tables are read more often, up to MAX_EPOCHS times, for at least so many updates.
 MIN_UPDATES = 400
@@ -59,34 +64,40 @@ MAX_EPOCHS = 20
 PART = 1 << 16
 PARTIAL_SUMS = 16
 END = b""  # the end token: no word is empty
-COUNTER_ENTRIES = 300_000
+# Bytes of text that are split at a time (a longer text is split alone).
+PIECE_BYTES = 1 << 23
 
 
-def words(text: str) -> list[bytes]:
-    """Words of a text: A-Z lower-cased, split at ASCII white space (what bytes methods do)."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of a text column of at most ``PIECE_BYTES`` bytes, or of one row."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_BYTES, "right")))
+        yield texts.slice(at, until - at)
+        at = until
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row of each word, the words in order): A-Z lower-cased, split at ASCII white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    rows, found = pc.list_parent_indices(lists), pc.list_flatten(lists)
+    full = pc.not_equal(pc.binary_length(found), 0)
+    if not pc.all(full, min_count=0).as_py():  # white space at an end of a text leaves empty words
+        rows, found = rows.filter(full), found.filter(full)
+    return rows.to_numpy(zero_copy_only=False), found
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over one text column; the empty word counts the documents."""
 
     def count(batches: Iterable[pa.RecordBatch]):
-        found: Counter = Counter()
-
-        def emitted():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(found.keys()), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
-            )
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                for text in batch.column(0).slice(at, 64).to_pylist():
-                    found.update(words(text))
-                    found[END] += 1
-                if len(found) > COUNTER_ENTRIES:
-                    yield emitted()
-                    found.clear()
-        yield emitted()
+            for piece in pieces(batch.column(0)):
+                found = split_words(piece)[1].value_counts()
+                words = pa.concat_arrays([found.field("values").cast(pa.binary()), pa.array([END], pa.binary())])
+                n = pa.concat_arrays([found.field("counts").cast(pa.int64()), pa.array([len(piece)], pa.int64())])
+                yield pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -99,11 +110,16 @@ def _sigmoid(x):
 
 
 class GatedModel:
-    """GRU over token ids with a class-factored softmax; id // size is a token's class."""
+    """GRU over token ids with a class-factored softmax.
+
+    id // size is a token's class, class // span its group.  States are columns inside: (hidden, lanes).
+    """
 
     def __init__(self, vocabulary: int, hidden: int = HIDDEN, seed: int = 3):
-        self.size = max(1, math.isqrt(max(1, vocabulary - 1)) + 1)
+        self.size = max(1, math.ceil(round(vocabulary ** (1 / 3), 9)))
         self.classes = -(-vocabulary // self.size)
+        self.span = max(1, math.isqrt(max(1, self.classes - 1)) + 1)
+        self.groups = -(-self.classes // self.span)
         self.vocabulary, self.hidden = vocabulary, hidden
         rng = np.random.default_rng(seed)
         f = np.float32
@@ -113,6 +129,8 @@ class GatedModel:
             "w": (rng.standard_normal((h, 3 * h)) / math.sqrt(h)).astype(f),
             "u": (rng.standard_normal((h, 3 * h)) / math.sqrt(h) * 0.5).astype(f),
             "b": np.zeros(3 * h, f),
+            "wg": np.zeros((h, self.groups), f),
+            "bg": np.zeros(self.groups, f),
             "wc": np.zeros((h, self.classes), f),
             "bc": np.zeros(self.classes, f),
             "wo": np.zeros((self.classes, h, self.size), f),
@@ -128,63 +146,110 @@ class GatedModel:
         padded[: self.vocabulary] = share
         padded = padded.reshape(self.classes, self.size)
         total = np.log(np.exp(padded).sum(axis=1))
-        self.p["bc"] = total.astype(np.float32)
+        groups = np.logaddexp.reduceat(total, np.arange(0, self.classes, self.span))
+        self.p["bg"] = groups.astype(np.float32)
+        self.p["bc"] = (total - np.repeat(groups, self.span)[: self.classes]).astype(np.float32)
         self.p["bo"] = np.maximum(padded - total[:, None], -1e9).astype(np.float32)
 
-    def step(self, ids: np.ndarray, h: np.ndarray):
+    def inputs(self, ids: np.ndarray) -> np.ndarray:
+        """What the ids add to the gates, as columns; ids of several steps give a stack."""
+        x = np.matmul(self.p["w"].T, np.swapaxes(self.p["e"][ids], -1, -2))
+        x += self.p["b"][:, None]
+        return x
+
+    def advance(self, x: np.ndarray, h: np.ndarray):
+        """The next states (columns) and what the way back needs."""
         n = self.hidden
-        x = self.p["e"][ids] @ self.p["w"] + self.p["b"]
-        g = h @ self.p["u"]
-        z = _sigmoid(x[:, :n] + g[:, :n])
-        r = _sigmoid(x[:, n : 2 * n] + g[:, n : 2 * n])
-        c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-        return (1 - z) * c + z * h, (z, r, c, g[:, 2 * n :])
+        g = self.p["u"].T @ h
+        zr = x[: 2 * n] + g[: 2 * n]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr += 1
+        zr *= 0.5
+        z, r, gc = zr[:n], zr[n:], g[2 * n :]
+        c = r * gc
+        c += x[2 * n :]
+        np.tanh(c, out=c)
+        after = h - c
+        after *= z
+        after += c
+        return after, (z, r, c, gc)
+
+    def step(self, ids: np.ndarray, h: np.ndarray):
+        """``advance`` for states as rows."""
+        after, kept = self.advance(self.inputs(ids), h.T)
+        return after.T, kept
+
+    def sorted(self, ids: np.ndarray) -> np.ndarray:
+        """Order of the ids; two-byte keys sort by radix."""
+        return np.argsort(ids.astype(np.uint16) if self.vocabulary <= 1 << 16 else ids, kind="stable")
 
     def log_probabilities(self, h: np.ndarray, ids: np.ndarray, grad: dict | None = None, scale: float = 1.0):
         """log P(id | state) of rows; with ``grad``, adds the output gradients and returns d loss / d h."""
-        kind, place = ids // self.size, ids % self.size
-        logp = np.empty(len(ids), h.dtype)
-        dh = None if grad is None else np.empty_like(h)
-
-        def softmax(rows, target, w, b, dw, db):
-            hk = h[rows]
-            a = hk @ w
-            a += b
-            at = np.arange(len(hk))
-            own = a[at, target]
-            with np.errstate(over="ignore"):
+        p, order = self.p, self.sorted(ids)
+        h, ids = h[order], ids[order].astype(np.intp)
+        kind = ids // self.size
+        group = kind // self.span
+        logp = np.zeros(len(ids), h.dtype)
+        dh = None if grad is None else np.zeros_like(h)
+
+        def softmax(keys, target, weights, biases, dweights):
+            """One level: rows of equal keys in a run, each key with its own weights; gives the biases' gradient."""
+            dbiases = None if dweights is None else np.zeros_like(biases)
+            for at in range(0, len(ids), SOFTMAX_ROWS):
+                rows = slice(at, at + SOFTMAX_ROWS)
+                hk, key = h[rows], keys[rows]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                runs = list(zip(key[first].tolist(), first.tolist(), [*first[1:].tolist(), len(key)]))
+                a = np.zeros((len(key), biases.shape[1]), h.dtype)
+                for k, i, j in runs:
+                    w = weights[k]
+                    np.matmul(hk[i:j], w, out=a[i:j, : w.shape[1]])
+                a += biases[key]
+                own = np.arange(len(key)), target[rows]
+                wanted = a[own]
                 e = np.exp(a)
-                s = e.sum(axis=1)
-            if not (np.isfinite(s).all() and s.min() > 1e-20):  # out of the range of plain exponentials
-                highest = a.max(axis=1, keepdims=True)
-                own = own - highest[:, 0]
-                e = np.exp(a - highest)
-                s = e.sum(axis=1)
-            if dw is None:
-                return own - np.log(s), None
-            e *= (scale / s)[:, None].astype(e.dtype)
-            e[at, target] -= scale
-            dw += hk.T @ e
-            db += e.sum(axis=0)
-            return own - np.log(s), e @ w.T
-
-        for at in range(0, len(ids), SOFTMAX_ROWS):
-            rows = slice(at, at + SOFTMAX_ROWS)
-            into = (None, None) if grad is None else (grad["wc"], grad["bc"])
-            logp[rows], back = softmax(rows, kind[rows], self.p["wc"], self.p["bc"], *into)
-            if grad is not None:
-                dh[rows] = back
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for k in np.flatnonzero(np.diff(bounds)).tolist():
-            into = (None, None) if grad is None else (grad["wo"][k], grad["bo"][k])
-            for at in range(bounds[k], bounds[k + 1], SOFTMAX_ROWS):
-                rows = order[at : min(at + SOFTMAX_ROWS, bounds[k + 1])]
-                found, back = softmax(rows, place[rows], self.p["wo"][k], self.p["bo"][k], *into)
-                logp[rows] += found
-                if grad is not None:
-                    dh[rows] += back
-        return logp, dh
+                ones = np.ones(e.shape[1], e.dtype)
+                s = e @ ones
+                if not (s.max() < 1e30 and s.min() > 1e-20):  # out of the range of plain exponentials
+                    highest = a.max(axis=1, keepdims=True)
+                    wanted -= highest[:, 0]
+                    e = np.exp(a - highest)
+                    s = e @ ones
+                logp[rows] += wanted - np.log(s)
+                if dweights is None:
+                    continue
+                e *= (scale / s)[:, None].astype(e.dtype)
+                e[own] -= scale
+                dbiases[key[first]] += np.add.reduceat(e, first)
+                back = np.empty_like(hk)
+                for k, i, j in runs:
+                    w, dw = weights[k], dweights[k]
+                    ek = e[i:j, : w.shape[1]]
+                    dw += hk[i:j].T @ ek
+                    np.matmul(ek, w.T, out=back[i:j])
+                dh[rows] += back
+            return dbiases
+
+        # classes of each group; places of the last group that no class has get no probability
+        own = [slice(g * self.span, (g + 1) * self.span) for g in range(self.groups)]
+        places = self.groups * self.span - self.classes
+        padded = np.append(p["bc"], np.full(places, -1e9, p["bc"].dtype)).reshape(self.groups, self.span)
+        some = grad is not None
+        with np.errstate(over="ignore", invalid="ignore"):
+            dbg = softmax(np.zeros_like(ids), group, [p["wg"]], p["bg"][None], [grad["wg"]] if some else None)
+            dbc = softmax(group, kind - group * self.span, [p["wc"][:, k] for k in own], padded, [grad["wc"][:, k] for k in own] if some else None)
+            dbo = softmax(kind, ids - kind * self.size, p["wo"], p["bo"], grad["wo"] if some else None)
+        found = np.empty_like(logp)
+        found[order] = logp
+        if grad is None:
+            return found, None
+        grad["bg"] += dbg[0]
+        grad["bc"] += dbc.ravel()[: self.classes]
+        grad["bo"] += dbo
+        back = np.empty_like(dh)
+        back[order] = dh
+        return found, back
 
     def train(self, documents: Iterable[np.ndarray], lanes: int = LANES, window: int = WINDOW, rate: float = 0.01) -> Training:
         """Truncated backpropagation on all documents, a block of them at a time."""
@@ -201,29 +266,46 @@ class GatedModel:
         return training
 
     def score(self, documents: list[np.ndarray], end: int, lanes: int = 1024, window: int = 16) -> np.ndarray:
-        """Natural-log probability of each document's whole token sequence."""
+        """Natural-log probability of each document's whole token sequence.
+
+        Longest first, each document follows the others of the lane that has the fewest tokens.
+        """
         out = np.zeros(len(documents))
-        by_length = sorted(range(len(documents)), key=lambda d: -len(documents[d]))
-        for group in range(0, len(by_length), lanes):
-            own = np.array(by_length[group : group + lanes])
-            lengths = np.array([len(documents[d]) for d in own])
-            flat = np.concatenate([documents[d] for d in own])
-            first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            h = np.zeros((len(own), self.hidden), np.float32)
-            previous = np.full(len(own), end)
-            states, targets, owners, held = [], [], [], 0
-            for t in range(int(lengths[0])):
-                active = int(np.searchsorted(-lengths, -t, "left"))  # lanes longer than t
-                h, _ = self.step(previous[:active], h[:active])
-                previous = flat[first[:active] + t]
-                states.append(h)
-                targets.append(previous)
-                owners.append(np.arange(active))
-                held += active
-                if (len(states) >= window and held >= SCORED_ROWS) or t + 1 == lengths[0]:
-                    logp, _ = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
-                    out[own] += np.bincount(np.concatenate(owners), logp.astype(float), len(own))
-                    states, targets, owners, held = [], [], [], 0
+        if not len(out):
+            return out
+        lengths = np.array([len(d) for d in documents])
+        lanes = max(1, min(lanes, len(documents)))
+        loads, dealt = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
+        for d in np.argsort(-lengths, kind="stable").tolist():
+            load, lane = loads[0]
+            dealt[lane].append(d)
+            heapq.heapreplace(loads, (load + int(lengths[d]), lane))
+        loads = sorted(loads, key=lambda x: -x[0])
+        laid = np.array([d for _, lane in loads for d in dealt[lane]])
+        loads = np.array([load for load, _ in loads])
+        first = np.cumsum(loads) - loads
+        stream = np.concatenate([documents[d] for d in laid])
+        owner = np.repeat(laid, lengths[laid])
+        starts = np.cumsum(lengths[laid]) - lengths[laid]
+        before = np.concatenate([stream[:1], stream[:-1]])
+        before[starts] = end
+        carried = np.ones(len(stream), np.float32)
+        carried[starts] = 0
+
+        h = np.zeros((self.hidden, lanes), np.float32)
+        states, places, held = [], [], 0
+        for t in range(int(loads[0])):
+            active = int(np.searchsorted(-loads, -t, "left"))  # lanes longer than t
+            at = first[:active] + t
+            h, _ = self.advance(self.inputs(before[at]), h[:, :active] * carried[at])
+            states.append(h.T)
+            places.append(at)
+            held += active
+            if (len(states) >= window and held >= SCORED_ROWS) or t + 1 == loads[0]:
+                at = np.concatenate(places)
+                logp, _ = self.log_probabilities(np.concatenate(states), stream[at])
+                out += np.bincount(owner[at], logp.astype(float), len(out))
+                states, places, held = [], [], 0
         return out
 
     def parts(self, training: Training):
@@ -286,7 +368,7 @@ class Training:
         Each document ends with its end token, which is also what precedes a document.
         """
         end = documents[0][-1]
-        stream = np.concatenate(documents)
+        stream = np.concatenate(documents).astype(np.int32)
         before = np.concatenate([[end], stream[:-1]])
         first = np.zeros(len(stream), bool)
         first[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
@@ -302,61 +384,78 @@ class Training:
             h = self.step(inputs[:, own], targets[:, own], starts[:, own], h)
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """One update from a window of all lanes; states enter and leave as rows."""
         model, grad = self.model, self.grad
         p, n, (lanes, steps) = model.p, model.hidden, inputs.shape
-        states, kept, befores = [], [], []
+        dtype = p["e"].dtype
+        source, carried = np.ascontiguousarray(inputs.T), (~starts.T).astype(dtype)
+        x = model.inputs(source)
+        states, kept, befores = np.empty((steps, n, lanes), dtype), [], []
+        h = h.T
         for t in range(steps):
-            h = h * ~starts[:, t, None]
+            h = h * carried[t]
             befores.append(h)
-            h, cache = model.step(inputs[:, t], h)
-            states.append(h)
+            h, cache = model.advance(x[t], h)
+            states[t] = h
             kept.append(cache)
-        wanted = targets.T.ravel()
-        valid = np.flatnonzero(wanted >= 0)
-        if not len(valid):
-            return h
+        last, wanted = h.T, targets.T.ravel()
+        valid = wanted >= 0
+        valid = slice(None) if valid.all() else np.flatnonzero(valid)
         ids = wanted[valid]
-        touched = np.unique(ids // model.size)
-        for k, g in grad.items():
-            g[touched if k in self.SPARSE else slice(None)] = 0
-        out = np.zeros((steps * lanes, n), np.float32)
-        _, out[valid] = model.log_probabilities(np.concatenate(states)[valid], ids, grad, 1.0 / len(valid))
-        out = out.reshape(steps, lanes, n)
-        dh = np.zeros((lanes, n), np.float32)
-        dx = np.empty((steps, lanes, 3 * n), np.float32)
+        if not len(ids):
+            return last
+        for g in grad.values():
+            g.fill(0)
+        rows = states.transpose(0, 2, 1).reshape(-1, n)
+        out = np.zeros((steps * lanes, n), dtype)
+        _, out[valid] = model.log_probabilities(rows[valid], ids, grad, 1.0 / len(ids))
+        out = np.ascontiguousarray(out.reshape(steps, lanes, n).transpose(0, 2, 1))
+        dh = np.zeros((n, lanes), dtype)
+        dx = np.empty((steps, 3 * n, lanes), dtype)
         for t in range(steps - 1, -1, -1):
-            dh = dh + out[t]
+            dh += out[t]
             z, r, c, gc = kept[t]
-            hb = befores[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (hb - c) * z * (1 - z)
-            dr = dc * gc * r * (1 - r)
-            dg = np.concatenate([dz, dr, dc * r], axis=1)
-            dx[t] = np.concatenate([dz, dr, dc], axis=1)
-            grad["u"] += hb.T @ dg
-            dh = (dh * z + dg @ p["u"].T) * ~starts[:, t, None]
-        flat, source = dx.reshape(-1, 3 * n), inputs.T.ravel()
-        grad["b"] += flat.sum(axis=0)
-        grad["w"] += p["e"][source].T @ flat
-        order = np.argsort(source, kind="stable")
-        rows, at = np.unique(source[order], return_index=True)
+            hb, d = befores[t], dx[t]
+            dz, dr, dc = d[:n], d[n : 2 * n], d[2 * n :]
+            np.multiply(dh, 1 - z, out=dc)
+            np.multiply(dc, z, out=dz)
+            dz *= hb - c
+            dc *= 1 - c * c
+            np.multiply(dc, r, out=dr)
+            dg = np.concatenate([dz, dr, dr])
+            dr *= gc
+            dr *= 1 - r
+            dg[n : 2 * n] = dr
+            grad["u"] += hb @ dg.T
+            dh *= z
+            dh += p["u"] @ dg
+            dh *= carried[t]
+        embedded = p["e"][source]
+        grad["b"] += dx.sum(axis=(0, 2))
+        grad["w"] += np.matmul(embedded.transpose(0, 2, 1), dx.transpose(0, 2, 1)).sum(axis=0)
+        source = source.ravel()
+        order = model.sorted(source)
+        found = source[order]
+        at = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        de = np.matmul(dx.transpose(0, 2, 1), p["w"].T).reshape(-1, n)
         self.updates += 1
-        self.sparse("e", rows, np.add.reduceat((flat @ p["w"].T)[order], at))
-        for k in ("wo", "bo"):
-            self.sparse(k, touched, grad[k][touched])
+        self.sparse("e", found[at], np.add.reduceat(de[order], at))
+        for k in ("wo", "bo"):  # classes that no target touched have no gradient and stay
+            self.sparse(k, slice(None), grad[k])
         rate = self.rate * math.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
         for k in self.m:
             self.m[k] += 0.1 * (grad[k] - self.m[k])
             self.v[k] += 0.01 * (grad[k] * grad[k] - self.v[k])
             p[k] -= np.float32(rate) * self.m[k] / (np.sqrt(self.v[k]) + 1e-7)
-        return h
+        return last
 
-    def sparse(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
+    def sparse(self, name: str, rows: np.ndarray | slice, grad: np.ndarray) -> None:
         """Steps of the rows that have a gradient, by the squares that each has gathered."""
-        axes = tuple(range(1, grad.ndim))
-        self.squares[name][rows] += (grad * grad).mean(axis=axes)
-        size = np.sqrt(self.squares[name][rows]) + 1e-7
-        self.model.p[name][rows] -= 5 * self.rate * grad / size.reshape(-1, *[1] * len(axes))
+        flat = grad.reshape(len(grad), -1)
+        squares = self.squares[name]
+        squares[rows] += np.einsum("ij,ij->i", flat, flat) / flat.shape[1]
+        flat *= (5 * self.rate / (np.sqrt(squares[rows]) + 1e-7))[:, None].astype(flat.dtype)
+        self.model.p[name][rows] -= grad
 
     def weights(self, name: str) -> np.ndarray:
         """How many tokens trained each row of a parameter."""
@@ -375,20 +474,64 @@ class WordTable:
 
     def __init__(self, frequent: list[tuple[bytes, int]], vocabulary: int, least: int = LEAST_SEEN):
         known = [w for w, n in frequent if w != END and n >= least][: max(0, vocabulary - 2)]
-        order = [END, None, *known]  # None stands for all other words
-        counts = dict(frequent)
-        inside = set(known) | {END}
-        self.total_other = 0  # set by the caller: tokens outside the vocabulary
-        self.ids = {w: k for k, w in enumerate(order) if w is not None}
-        self.end, self.unknown, self.size = 0, 1, len(order)
-        self.counts = counts
-        self.inside = inside
-        self.vocabulary_counts = [counts.get(END, 0), 0, *(counts[w] for w in known)]
-
-    def encode(self, found: list[bytes]) -> np.ndarray:
-        get, unknown = self.ids.get, self.unknown
-        ids = np.fromiter((get(w, unknown) for w in found), np.int64, len(found))
-        return np.append(ids, self.end)
+        self.counts = dict(frequent)
+        self.end, self.unknown, self.size = 0, 1, 2 + len(known)
+        self.vocabulary_counts = [self.counts.get(END, 0), 0, *(self.counts[w] for w in known)]
+        # by a word's place among the frequent ones; the last place is that of all other words
+        self.frequent = pa.array([w for w, _ in frequent], pa.binary()).cast(pa.string())
+        numbers = {w: k for k, w in enumerate(known, 2)} | {END: self.end}
+        self.ids = np.array([*(numbers.get(w, self.unknown) for w, _ in frequent), self.unknown], "<u2" if self.size <= 1 << 16 else "<u4")
+        self.logs = np.array([*(math.log10(n + 1) for _, n in frequent), 0.0])
+        self.inside_counts = [n for w, n in frequent if w in numbers]
+
+    def read(self, texts: pa.Array) -> list[pa.Array]:
+        """Of each text: its tokens, the known ones, their base logs, those outside the vocabulary, unknown tokens, ids, rare words."""
+        rows, found = split_words(texts)
+        place = pc.fill_null(pc.index_in(found, value_set=self.frequent), -1).to_numpy(zero_copy_only=False)
+        n = len(texts)
+        per_text = lambda v: np.bincount(rows, v, n)
+        ids, logs, rare = self.ids[place], self.logs[place], place < 0
+        lengths = np.bincount(rows, minlength=n) + 1
+        tokens = np.full(len(rows) + n, self.end, self.ids.dtype)
+        tokens[np.arange(len(rows)) + rows] = ids
+        unknown = ids == self.unknown
+        seldom = pa.ListArray.from_arrays(_offsets(np.bincount(rows[rare], minlength=n)), found.filter(pa.array(rare)))
+        return [
+            pa.array(lengths, pa.int64()),
+            pa.array((per_text(~rare) + (END in self.counts)).astype(np.int64)),
+            pa.array(per_text(logs) + math.log10(self.counts.get(END, 0) + 1), pa.float64()),
+            pa.array(per_text(logs * unknown), pa.float64()),
+            pa.array(per_text(unknown).astype(np.int64)),
+            pa.Array.from_buffers(pa.binary(), n, [None, _offsets(lengths * tokens.itemsize).buffers()[1], pa.py_buffer(tokens.tobytes())]),
+            pc.binary_join(seldom, " "),
+        ]
+
+    def documents(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each row."""
+        return [np.frombuffer(ids, self.ids.dtype) for ids in column.to_pylist()]
+
+
+def _offsets(lengths: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
+ENCODED = "n_tokens long, _known long, _base double, _outside double, _unknown long, _ids binary, _rare string"
+
+
+def encode(rows: DataFrame, words_table: Broadcast) -> DataFrame:
+    """Rows whose last column is a text, with what ``WordTable.read`` finds in place of it."""
+    kept = rows.schema[:-1]
+    names = [*kept.names, *(c.split()[0] for c in ENCODED.split(", "))]
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            at = 0
+            for piece in pieces(batch.column(batch.num_columns - 1)):
+                own = batch.slice(at, len(piece))
+                at += len(piece)
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], *words_table.value.read(piece)], names=names)
+
+    return rows.mapInArrow(run, ", ".join([*(f"{c.name} {c.dataType.simpleString()}" for c in kept), ENCODED]))
 
 
 def most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
@@ -421,17 +564,16 @@ def _summed(parts: DataFrame, *keys: str) -> DataFrame:
     return parts.repartition(*keys).mapInArrow(run, parts.schema)
 
 
-def fit(texts: DataFrame, words_table: WordTable, counted: int, tokens: int, rounds: int = ROUNDS) -> GatedModel:
-    """Train on all documents of ``texts`` (one column, ``tokens`` in all); rounds of averaged partitions.
+def fit(documents: DataFrame, shared_words: Broadcast, counted: int, tokens: int, rounds: int = ROUNDS) -> GatedModel:
+    """Train on all rows of ``documents`` (``_ids``, ``tokens`` in all); rounds of averaged partitions.
 
     ``counted`` are the tokens behind the word table.
     """
-    spark = texts.sparkSession
+    spark, words_table = documents.sparkSession, shared_words.value
     counts = np.array(words_table.vocabulary_counts, float)
     counts[words_table.unknown] = max(0, counted - counts.sum())
     model = GatedModel(words_table.size)
     model.start_from(counts)
-    shared_words = spark.sparkContext.broadcast(words_table)
     if tokens < rounds * SHARD_TOKENS:
         rounds = 1
     shards = max(1, tokens // (rounds * SHARD_TOKENS))
@@ -446,25 +588,22 @@ def fit(texts: DataFrame, words_table: WordTable, counted: int, tokens: int, rou
         def run(batches: Iterable[pa.RecordBatch], rate=rate, shared=shared):
             known = shared_words.value
             own = GatedModel(known.size).unpack(shared.value)
-            read = (
-                known.encode(words(t))
-                for b in batches for at in range(0, b.num_rows, 64) for t in b.column(0).slice(at, 64).to_pylist()
-            )
+            read = (d for b in batches for at in range(0, b.num_rows, 64) for d in known.documents(b.column(0).slice(at, 64)))
             if epochs == 1:
                 training = own.train(read, lanes, rate=rate)
             else:
-                documents = list(read)
-                if not documents:
+                own_documents = list(read)
+                if not own_documents:
                     return
                 training = Training(own, lanes, WINDOW, rate)
                 for epoch in range(epochs):
                     training.rate = rate * (1 - 0.9 * epoch / epochs)
-                    training.run(documents)
+                    training.run(own_documents)
             if training.tokens:
                 yield from own.parts(training)
 
         schema = "part int, salt int, numbers binary"
-        bucket = texts if rounds == 1 else texts.where(F.pmod(F.xxhash64(F.col(texts.columns[0])), F.lit(rounds)) == number)
+        bucket = documents if rounds == 1 else documents.where(F.pmod(F.xxhash64("_ids"), F.lit(rounds)) == number)
         parts = bucket.coalesce(shards).mapInArrow(run, schema)
         if parts.rdd.getNumPartitions() > 4 * PARTIAL_SUMS:
             parts = _summed(parts, "part", "salt")
@@ -495,52 +634,31 @@ def score(
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = total["n"], total["v"]
     known = WordTable(most_frequent(counts, frequent), vocabulary)
-    learned, learned_tokens = training, tokens
+    shared_words = spark.sparkContext.broadcast(known)
+    rows = df.select(
+        F.monotonically_increasing_id().alias("_n"), F.col(id_col).alias("_id"),
+        F.coalesce(is_training, F.lit(False)).alias("_train"), text_or_empty(text_col).alias("_text"),
+    )
+    encoded = checkpointed(encode(rows, shared_words))
+    learned, learned_tokens = encoded.where("_train").select("_ids"), tokens
     if train_documents is not None:
         sample = bounded_sample(df.where(F.coalesce(is_training, F.lit(False))).select(id_col, text_col), train_documents, [id_col])
-        learned = checkpointed(sample.select(text_or_empty(text_col).alias("text")))
-        learned_tokens = count_words(learned).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    model = fit(learned, known, tokens, learned_tokens)
+        read = checkpointed(encode(sample.select(text_or_empty(text_col).alias("_text")), shared_words))
+        learned, learned_tokens = read.select("_ids"), read.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    model = fit(learned, shared_words, tokens, learned_tokens)
     smoothed = tokens + distinct + 1
-    other = smoothed - sum(known.counts.get(w, 0) + 1 for w in known.inside if w in known.counts)
-    shared = spark.sparkContext.broadcast((known, model.packed()))
-    id_type = df.schema[id_col].dataType.simpleString()
+    other = smoothed - sum(n + 1 for n in known.inside_counts)
+    shared = spark.sparkContext.broadcast(model.packed())
 
     def run(batches: Iterable[pa.RecordBatch]):
-        table, data = shared.value
-        gated = GatedModel(table.size).unpack(data)
-        logs = {w: math.log10(n + 1) for w, n in table.counts.items()}
+        gated = GatedModel(shared_words.value.size).unpack(shared.value)
         for batch in batches:
-            encoded, rare, sums = [], [], []
-            for at in range(0, batch.num_rows, 64):
-                for text in batch.column(3).slice(at, 64).to_pylist():
-                    found = words(text)
-                    encoded.append(table.encode(found))
-                    seldom = [w for w in found if w not in logs]
-                    base = sum(logs[w] for w in found if w in logs) + logs.get(END, 0.0)
-                    outside = sum(logs[w] for w in found if w in logs and w not in table.inside)
-                    n_known = len(found) - len(seldom) + (END in logs)
-                    sums.append((len(found) + 1, n_known, base, outside, int((encoded[-1] == table.unknown).sum())))
-                    rare.append(b" ".join(seldom).decode("utf-8", "surrogatepass"))
-            logp = gated.score(encoded, table.end) / math.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2),
-                 *[pa.array([s[k] for s in sums], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))],
-                 pa.array(logp, pa.float64()), pa.array(rare, pa.string())],
-                names=["_n", "_id", "_train", "n_tokens", "_known", "_base", "_outside", "_unknown", "_model", "_rare"],
-            )
+            at = batch.schema.get_field_index("_ids")
+            logp = gated.score(shared_words.value.documents(batch.column(at)), shared_words.value.end) / math.log(10)
+            yield batch.set_column(at, "_model", pa.array(logp, pa.float64()))
 
-    rows = df.select(
-        F.monotonically_increasing_id().alias("_n"), F.col(id_col).alias("_id"),
-        F.coalesce(is_training, F.lit(False)).alias("_train"), text_or_empty(text_col).alias("_text"),
-    )
-    scored = checkpointed(
-        rows.mapInArrow(
-            run,
-            f"_n long, _id {id_type}, _train boolean, n_tokens long, _known long, _base double, _outside double, "
-            "_unknown long, _model double, _rare string",
-        )
-    )
+    fields = [("_model double" if c.name == "_ids" else f"{c.name} {c.dataType.simpleString()}") for c in encoded.schema]
+    scored = checkpointed(encoded.mapInArrow(run, ", ".join(fields)))
     seldom = scored.where("_rare <> ''").select("_n", F.explode(F.split("_rare", " ")).alias("_word"))
     looked_up = (
         seldom.select("_n", F.col("_word").cast("binary").alias("word")).join(counts, "word")

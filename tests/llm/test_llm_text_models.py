@@ -9,6 +9,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +257,74 @@ def test_language_model_without_training_rows(frame):
     assert lm.score(frame([]), F.lit(True)).collect() == []
 
 
+def test_words_are_split_as_bytes_are():
+    rng = random.Random(1)
+    alphabet = "aBZ\x00\x1c\x85\xa0é🙂İK \t\n\x0b\x0c\r"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(500)] + ["", " ", ""]
+    rows, found = lm.split_words(pa.array(texts))
+    got = [[] for _ in texts]
+    for row, word in zip(rows, found.to_pylist()):
+        got[row].append(word.encode())
+    assert got == [t.encode().lower().split() for t in texts]
+
+
+def test_a_token_costs_the_cube_root_of_the_vocabulary():
+    for vocabulary in (2, 7, 1000, 1 << 15):
+        model = lm.GatedModel(vocabulary)
+        assert model.groups + model.span + model.size <= 3 * vocabulary ** (1 / 3) + 5
+        counts = np.random.default_rng(vocabulary).integers(0, 90, vocabulary).astype(float)
+        model.start_from(counts)
+        logp, _ = model.log_probabilities(np.zeros((vocabulary, model.hidden), np.float32), np.arange(vocabulary))
+        assert np.exp(logp) == pytest.approx((counts + 1) / (counts.sum() + vocabulary), rel=1e-4)
+
+
+def test_texts_are_read_twice_whatever_the_rounds(spark, frame, monkeypatch):
+    pairs = [(i, " ".join(f"w{i * k % 50}" for k in range(12))) for i in range(700)]
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 500)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = lm.score(frame(pairs).withColumn("text", seen("text")), queries.fold(F.col("doc_id"), 7) != 2).collect()
+    assert len(rows) == len(pairs) and read.value <= 2 * len(pairs)
+
+
+def test_final_score_matches_plain_recurrence(frame, monkeypatch):
+    """Words inside the vocabulary, outside it, rare ones that are joined and unknown ones."""
+    pairs = [(i, " ".join(["a", "b", "C"][: 1 + i % 3] * 3 + [f"o{i % 4}", f"r{i % 11}"])) for i in range(40)] + [(90, "a new wOrd"), (91, None)]
+    training = [d for d, _ in pairs if d < 90]
+    rng = np.random.default_rng(4)
+
+    def fitted(documents, shared, *rest):
+        model = lm.GatedModel(shared.value.size)
+        model.p = {k: v if k == "bo" else rng.standard_normal(v.shape).astype(np.float32) for k, v in model.p.items()}
+        models.append(model)
+        return model
+
+    models = []
+    monkeypatch.setattr(lm, "fit", fitted)
+    rows = {r.doc_id: r for r in lm.score(frame(pairs), F.col("doc_id") < 90, vocabulary=5, frequent=6).collect()}
+    split = lambda t: (t or "").lower().split() + [""]
+    counts = collections.Counter(w for d, t in pairs if d in training for w in split(t))
+    model, total = models[0], sum(counts.values()) + len(counts) + 1
+    frequent = sorted(counts, key=lambda w: (-counts[w], w))[:6]
+    ids = {"": 0} | {w: k for k, w in enumerate([w for w in frequent if w][:3], 2)}
+    assert model.vocabulary == 5 and "" in frequent
+    others = total - sum(counts[w] + 1 for w in ids)
+    for d, t in pairs:
+        h, previous, expected = np.zeros((1, model.hidden), np.float32), 0, 0.0
+        for w in split(t):
+            h, _ = model.step(np.array([previous]), h)
+            previous = ids.get(w, 1)
+            expected += float(model.log_probabilities(h, np.array([previous]))[0][0]) / math.log(10)
+            if previous == 1:
+                expected += math.log10((counts[w] + 1) / others)
+        assert rows[d].score == pytest.approx(expected, rel=1e-4)
+
+
 def test_model_is_a_distribution_and_state_crosses_windows():
     model = lm.GatedModel(11, hidden=5)
     rng = np.random.default_rng(0)
