@@ -389,13 +389,12 @@ class Training:
         p, n, (lanes, steps) = model.p, model.hidden, inputs.shape
         dtype = p["e"].dtype
         source, carried = np.ascontiguousarray(inputs.T), (~starts.T).astype(dtype)
-        x = model.inputs(source)
         states, kept, befores = np.empty((steps, n, lanes), dtype), [], []
         h = h.T
         for t in range(steps):
             h = h * carried[t]
             befores.append(h)
-            h, cache = model.advance(x[t], h)
+            h, cache = model.advance(model.inputs(source[t]), h)
             states[t] = h
             kept.append(cache)
         last, wanted = h.T, targets.T.ravel()
