@@ -1,5 +1,7 @@
 """What the replay, scoring and model jobs leave on disk."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -31,6 +33,10 @@ def test_a_one_time_write_leaves_no_shuffle_files(spark):
         assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
         spark.range(1000).repartition(3, "id").write.parquet(path)
     assert spark.conf.get(SHUFFLE_CLEANUP) == "false" and spark.read.parquet(path).count() == 1000
+    for _ in range(100):  # they are removed in the background
+        if _shuffle_files(spark) <= held:
+            break
+        time.sleep(0.1)
     assert _shuffle_files(spark) <= held
     remove_folder(spark, path)
 
